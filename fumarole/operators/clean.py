@@ -104,27 +104,26 @@ def missing_runs(df: DataFrame, value: str = VALUE, block_rows: int | None = Non
         missing = F.col(value).isNull().cast("int")
         starts = F.coalesce((missing != F.lag(missing).over(w)).cast("int"), F.lit(1))
         rows = rows.withColumns({"is_missing": missing, "_start": starts})
-        if BLOCK not in rows.columns:
-            rows = rows.withColumns({OWN: F.lit(0).cast("long"), BLOCK: F.lit(0).cast("long")})
-        return rows.withColumn("_part", F.col(OWN))
+        if BLOCK in rows.columns:
+            return rows.withColumn("_part", F.col(OWN))
+        rows = rows.withColumn("run_id", F.sum("_start").over(w).cast("long")).drop("_start")
+        sizes = F.sum("is_missing").over(Window.partitionBy(SENSOR, "run_id"))
+        return rows.withColumn("gap_size", sizes.cast("long"))
 
     marked = over_series(df, mark, before=1, block_rows=block_rows)
-    marked = marked.drop(OWN, BLOCK)
-    part = Window.partitionBy(SENSOR, "_part")
-    marked = marked.withColumn("_runs", F.sum("_start").over(part.orderBy(TIME)))
-
-    series = Window.partitionBy(SENSOR)
-    totals = marked.groupBy(SENSOR, "_part").agg(F.sum("_start").alias("_n"))
-    offsets = totals.withColumn(
-        "_before", F.sum("_n").over(series.orderBy("_part")) - F.col("_n")
-    ).drop("_n")
+    if "_part" not in marked.columns:
+        return marked
+    part = [SENSOR, "_part"]
+    marked = marked.withColumn("_runs", F.sum("_start").over(Window.partitionBy(*part).orderBy(TIME)))
+    totals = marked.groupBy(*part).agg(F.sum("_start").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(SENSOR).orderBy("_part"))
+    offsets = totals.select(*part, (upto - F.col("_n")).alias("_before"))
     numbered = (
-        marked.join(offsets, [SENSOR, "_part"])
+        lookup(marked, offsets, part)
         .withColumn("run_id", (F.col("_runs") + F.col("_before")).cast("long"))
         .drop("_start", "_runs", "_before")
     )
     sizes = numbered.groupBy(SENSOR, "run_id", "_part").agg(F.sum("is_missing").alias("_n"))
-    sizes = sizes.withColumn(
-        "gap_size", F.sum("_n").over(Window.partitionBy(SENSOR, "run_id")).cast("long")
-    ).drop("_n")
+    whole = F.sum("_n").over(Window.partitionBy(SENSOR, "run_id"))
+    sizes = sizes.withColumn("gap_size", whole.cast("long")).drop("_n")
     return numbered.join(sizes, [SENSOR, "run_id", "_part"]).drop("_part")

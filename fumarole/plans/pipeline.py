@@ -1,0 +1,72 @@
+"""The whole job: raw readings to cleaned, features, scores, alerts and report."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fumarole.operators import model, quality
+from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_normalize
+from fumarole.operators.cross import cross_features
+from fumarole.operators.windows import reading_date, sliding_window_aggregates, window_features
+from fumarole.settings import N_CHANNELS
+from fumarole.sinks import (
+    as_stored, save_model, save_table, write_csv, write_json, write_parquet, write_partitioned,
+)
+
+
+def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None = None) -> DataFrame:
+    """Dedup, short-gap fill, rolling outliers, scaling, date."""
+    rows = clean_windows(dedup_keep_last(raw, order=order), block_rows=block_rows)
+    return minmax_normalize(rows).withColumn("reading_date", reading_date())
+
+
+def features(clean: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """Per-sensor window features, then the features across sensors."""
+    return cross_features(window_features(clean, block_rows=block_rows))
+
+
+@dataclass
+class Layers:
+    """Where ``run`` wrote what."""
+
+    cleaned: str
+    features: str
+    final: str
+    partitioned: str
+    alerts: str
+    model: str
+    report: str
+    windows: str
+
+
+def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: int = N_CHANNELS,
+        tables: bool = False, strict: bool = True) -> Layers:
+    """Run every stage. A stage reads what the stage before stored, so none is computed twice."""
+    spark = raw.sparkSession
+    at = Layers(**{name: f"{out}/{name}" for name in Layers.__dataclass_fields__})
+
+    write_parquet(as_stored(cleaned(raw, order)), at.cleaned)
+    clean = spark.read.parquet(at.cleaned)
+    write_parquet(sliding_window_aggregates(clean), at.windows)
+    write_parquet(as_stored(features(clean)), at.features)
+    rows = spark.read.parquet(at.features)
+
+    save_model(model.fit_iforest(rows), at.model)
+    nodes = spark.read.parquet(at.model)
+    scored = f"{out}/scored"
+    write_parquet(model.score_iforest(rows, nodes), scored)
+    write_parquet(as_stored(model.flag_top(spark.read.parquet(scored))), at.final)
+    final = spark.read.parquet(at.final)
+
+    result = quality.report(final, expected_sensors=expected_sensors)
+    write_json(result, at.report)
+    write_partitioned(final, at.partitioned)
+    found = model.alerts(final)
+    write_csv(found.withColumn("timestamp", F.col("timestamp").cast("string")), at.alerts)
+    if tables:
+        save_table(final, "sensor_readings_curated")
+        save_table(found, "anomaly_alerts")
+    if strict:
+        quality.enforce(spark.read.json(at.report))
+    return at

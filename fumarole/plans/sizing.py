@@ -34,19 +34,23 @@ def bounded_rows(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
+def small_side(stats: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
+    """``stats`` ready to broadcast, its size checked; None when it is too large."""
+    if is_small(stats):
+        return F.broadcast(stats)
+    local = bounded_rows(stats, max_rows)
+    return None if local is None else F.broadcast(local)
+
+
 def lookup(df: DataFrame, stats: DataFrame, keys: list[str], max_rows: int = LOOKUP_ROWS) -> DataFrame:
     """Left join of per-group ``stats`` onto the rows of ``df``.
 
-    The statistics are broadcast only when their size was checked. Beyond the
-    bound it is a shuffle join in which every group is spread over salts, so a
-    group holding a third of the rows does not end in one task.
+    Broadcast only within the checked bound. Beyond it, a shuffle join in which
+    every group is spread over salts, so a group holding a third of the rows
+    does not end in one task.
     """
-    if is_small(stats):
-        return df.join(F.broadcast(stats), keys, "left")
-    local = bounded_rows(stats, max_rows)
-    if local is not None:
-        return df.join(F.broadcast(local), keys, "left")
-    return salted_join(df, stats, keys)
+    side = small_side(stats, max_rows)
+    return salted_join(df, stats, keys) if side is None else df.join(side, keys, "left")
 
 
 def salted_join(df: DataFrame, stats: DataFrame, keys: list[str], salts: int = 32) -> DataFrame:
