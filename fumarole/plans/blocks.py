@@ -132,7 +132,7 @@ def cell_table(
         )
         again = (counts["n"] > burst) & (counts["_slice"] > 1)
         kept.append(counts[~again])
-        crowded = counts[again].assign(_base=counts["_cell"])
+        crowded = counts[again].assign(_base=lambda cells: cells["_cell"])
     cells = pd.concat(kept).sort_values([key, "_cell"])
     placed = [_place(g, key, before, after, block_rows) for _, g in cells.groupby(key, sort=False)]
     return CellTable(spark, *fields, levels, pd.concat(placed, ignore_index=True))
