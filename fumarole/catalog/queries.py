@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fumarole.catalog.tables import cells, event_readings, readings, sensor_of, table, vectors
+from fumarole.catalog.tables import (
+    cells, event_readings, minute_of, readings, sensor_of, table, vectors,
+)
 from fumarole.functions import indexed_value, parse_instant
 from fumarole.operators import clean, cross, model, quality, quantiles, summary, windows
 from fumarole.plans import pipeline
@@ -32,8 +34,9 @@ def query(f: Query) -> Query:
 
 
 def r6(c: str | Column, name: str | None = None) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6).alias(name or c)
+    if isinstance(c, str):
+        return F.expr(f"round(cast({c} as double), 6) as {name or c}")
+    return F.round(c.cast("double"), 6).alias(name)
 
 
 def deduped(spark, sf, grain="minute") -> DataFrame:
@@ -121,9 +124,7 @@ def channel_select(spark, sf):
 @query
 def assign_timestamps(spark, sf):
     rows = with_row_index(table(spark, sf, "embeddings").select("vec_id"))
-    start = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
-    at = F.timestamp_add("MINUTE", F.col("row_index").cast("int"), start)
-    return rows.select("vec_id", at.cast("timestamp_ntz").alias("timestamp"))
+    return rows.selectExpr("vec_id", f"{minute_of('row_index')} as timestamp")
 
 
 @query

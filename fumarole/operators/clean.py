@@ -1,6 +1,6 @@
 """Cleaning: deterministic dedup, short-gap fill, rolling outliers, min-max scaling."""
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fumarole.functions import row_count_flag
@@ -30,25 +30,25 @@ def dedup_keep_last(df: DataFrame, keys=KEYS, order=("priority", "seq")) -> Data
     return rows.groupBy(*keys).agg(*kept).select(*df.columns)
 
 
-def gap_columns(w: WindowSpec, value: str = VALUE, max_gap: int = MAX_GAP) -> tuple[Column, Column]:
-    """(flag, filled value) of short missing runs, looking ``max_gap`` rows both ways.
+def _filled(rows: DataFrame, w: WindowSpec, max_gap: int, value: str = VALUE) -> DataFrame:
+    """Fill short missing runs, looking ``max_gap`` rows both ways.
 
     A row outside the series is not missing, so runs at either end count as the
     runs they are. With ``max_gap`` neighbours on each side a run of at most
     ``max_gap`` rows is seen whole and a longer one is seen to be longer.
     """
-    missing = F.col(value).isNull().cast("int")
-
-    def run(shift):
-        chain, total = F.lit(1), F.lit(0)
-        for k in range(1, max_gap + 1):
-            chain = chain * shift(missing, k, 0).over(w)
-            total = total + chain
-        return total
-
-    short = (missing == 1) & (run(F.lag) + run(F.lead) + 1 <= max_gap)
-    previous = F.coalesce(*[F.lag(value, k).over(w) for k in range(1, max_gap + 1)])
-    return short, F.when(short, previous).otherwise(F.col(value))
+    missing, steps = F.col(value).isNull().cast("int"), range(1, max_gap + 1)
+    sides = {"back": F.lag, "ahead": F.lead}
+    near = {f"_{side}{k}": shift(missing, k, 0).over(w) for side, shift in sides.items() for k in steps}
+    near["_previous"] = F.last(value, ignorenulls=True).over(w.rowsBetween(-max_gap, -1))
+    rows = rows.withColumns(near)
+    # Missing neighbours in an unbroken chain: 1 + 1*1 + 1*1*1 ...
+    chains = [" * ".join(f"_{side}{j}" for j in range(1, k + 1)) for side in sides for k in steps]
+    run = " + ".join(["1", *chains])
+    short = F.expr(f"{value} is null and {run} <= {max_gap}")
+    rows = rows.withColumn("is_imputed", row_count_flag(short))
+    fill = F.when(F.col("is_imputed") == 1, F.col("_previous")).otherwise(F.col(value))
+    return rows.withColumn(value, fill).drop(*near)
 
 
 def gap_fill_short(df: DataFrame, max_gap: int = MAX_GAP, block_rows: int | None = None) -> DataFrame:
@@ -63,11 +63,6 @@ def gap_fill_short(df: DataFrame, max_gap: int = MAX_GAP, block_rows: int | None
     return over_series(df, build, before=max_gap, after=max_gap, block_rows=block_rows)
 
 
-def _filled(rows: DataFrame, w: WindowSpec, max_gap: int) -> DataFrame:
-    short, filled = gap_columns(w, max_gap=max_gap)
-    return rows.withColumns({VALUE: filled, "is_imputed": row_count_flag(short)})
-
-
 def clean_windows(
     df: DataFrame, max_gap: int = MAX_GAP, window: int = WINDOW, min_rows: int = MIN_CLEAN,
     threshold: float = THRESHOLD, block_rows: int | None = None,

@@ -41,8 +41,9 @@ def z_of(value: str = VALUE) -> Column:
 
 def lag_columns(w: WindowSpec, value: str = VALUE, lags=(1, 5)) -> dict[str, Column]:
     x = F.col(value).cast("double")
-    cols = {f"lag_{k}": F.lag(x, k).over(w) for k in lags}
-    cols["rate_of_change"] = x - F.lag(x, 1).over(w)
+    before = {k: F.lag(x, k).over(w) for k in lags}
+    cols = {f"lag_{k}": c for k, c in before.items()}
+    cols["rate_of_change"] = x - (before[1] if 1 in before else F.lag(x, 1).over(w))
     return cols
 
 

@@ -17,10 +17,14 @@ def feature_columns(df: DataFrame, targets=TARGET_NAMES) -> list[str]:
 
 
 def usable_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: how many of its cells hold a number; one pass for all."""
-    counts = df.agg(*[F.count(indexed_value(F.col(f"`{c}`"))).alias(c) for c in columns])
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("n_usable")) for c in columns]
-    return counts.select(F.inline(F.array(*pairs)))
+    """One row per column: how many of its cells hold a number; one pass for all.
+
+    Cells become rows, so one expression parses them whatever the number of
+    columns; the counts are summed before anything is shuffled.
+    """
+    texts = [F.expr(f"cast(`{c}` as string) as `{c}`") for c in columns]
+    cells = df.select(*texts).unpivot([], list(columns), "column_name", "cell")
+    return cells.groupBy("column_name").agg(F.count(indexed_value(F.col("cell"))).alias("n_usable"))
 
 
 def channel_starts(n: int, channels: int = N_CHANNELS) -> list[int]:
