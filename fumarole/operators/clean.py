@@ -78,10 +78,16 @@ def clean_windows(
     return over_series(df, build, before=window - 1 + max_gap, after=max_gap, block_rows=block_rows)
 
 
-def minmax_normalize(df: DataFrame, value: str = VALUE, out: str = "reading_normalized") -> DataFrame:
-    """Scale every sensor to [0, 1]; 0 for all rows of a constant or empty sensor."""
+def minmax_normalize(
+    df: DataFrame, value: str = VALUE, out: str = "reading_normalized", extremes_of: DataFrame | None = None
+) -> DataFrame:
+    """Scale every sensor to [0, 1]; 0 for all rows of a constant or empty sensor.
+
+    ``extremes_of`` may name rows with the same extremes that cost less to
+    compute: gap filling repeats readings, so the rows before it will do.
+    """
     x = F.col(value).cast("double")
-    stats = df.groupBy(SENSOR).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    stats = (df if extremes_of is None else extremes_of).groupBy(SENSOR).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     spread = F.col("_hi") - F.col("_lo")
     scaled = F.when(spread != 0, (x - F.col("_lo")) / F.nullif(spread, F.lit(0.0))).otherwise(F.lit(0.0))
     return lookup(df, stats, [SENSOR]).withColumn(out, scaled).drop("_lo", "_hi")

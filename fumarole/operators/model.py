@@ -39,7 +39,9 @@ def fit_iforest(
         _overlapping(rows, n_trees, psi, seed, keys)
     )
     grow = _grower(list(features), seed, max(1, math.ceil(math.log2(max(size, 2)))))
-    return sample.groupBy("tree_id").applyInPandas(grow, NODES)
+    # The sample is small in bytes but each tree takes time: keep the trees in separate tasks.
+    tasks = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
+    return sample.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, NODES)
 
 
 def _disjoint(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int, keys) -> DataFrame:

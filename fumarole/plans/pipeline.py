@@ -17,8 +17,9 @@ from fumarole.sinks import (
 
 def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None = None) -> DataFrame:
     """Dedup, short-gap fill, rolling outliers, scaling, date."""
-    rows = clean_windows(dedup_keep_last(raw, order=order), block_rows=block_rows)
-    return minmax_normalize(rows).withColumn("reading_date", reading_date())
+    unique = dedup_keep_last(raw, order=order)
+    rows = clean_windows(unique, block_rows=block_rows)
+    return minmax_normalize(rows, extremes_of=unique).withColumn("reading_date", reading_date())
 
 
 def features(clean: DataFrame, block_rows: int | None = None) -> DataFrame:
