@@ -74,9 +74,8 @@ SCORED = """
 
 FLAGGED = "select *, cast(abs(z_score) > 3.5 as int) as anomaly_flag from s"
 
-CORR = """greatest(-1.0, least(1.0, covar_pop(case when {y} is not null then {x} end,
-    case when {x} is not null then {y} end) / nullif(
-    stddev_pop(case when {y} is not null then {x} end) * stddev_pop(case when {x} is not null then {y} end), 0)))"""
+CORR = """covar_pop(case when {y} is not null then {x} end, case when {x} is not null then {y} end) / nullif(
+    stddev_pop(case when {y} is not null then {x} end) * stddev_pop(case when {x} is not null then {y} end), 0)"""
 
 INSTANTS = f"""
     select ts_t, count(v) as n, coalesce({CORR.format(x="v", y="mean")}, 0) as sensor_correlation,

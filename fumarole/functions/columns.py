@@ -51,13 +51,18 @@ def micros(ts: Column, dtype: T.DataType) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def _clipped(r: Column) -> Column:
+    """Within [-1, 1]; null stays null, which ``least`` and ``greatest`` would skip."""
+    return F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
+
+
 def guarded_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over complete pairs; null, not an error, when undefined."""
     both = x.isNotNull() & y.isNotNull()
     a, b = F.when(both, x), F.when(both, y)
     spread = F.stddev_pop(a) * F.stddev_pop(b)
     r = F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
-    return F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+    return _clipped(r)
 
 
 def co_correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
@@ -68,4 +73,4 @@ def co_correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column,
     tiny = F.lit(1e-13)
     real = (vx > tiny * sxx) & (vy > tiny * syy)
     r = F.when(real, cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0)))
-    return F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+    return _clipped(r)
