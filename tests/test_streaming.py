@@ -1,0 +1,134 @@
+import json
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from fumarole import streaming
+from fumarole.operators import clean, windows
+from fumarole.streaming.ingest import quarantined
+from fumarole.streaming.rolling import OUTPUT
+
+START = pd.Timestamp("2024-01-01", tz="UTC")
+
+
+def series(n=260, sensors=3, seed=0):
+    rng = np.random.default_rng(seed)
+    parts = []
+    for k in range(sensors):
+        x = np.round(rng.normal(100, 3, n), 3)
+        x[rng.random(n) < 0.15] = np.nan
+        x[60:70] = np.nan
+        x[150:151] = 200.0
+        parts.append(pd.DataFrame({
+            "sensor_id": f"S{k + 1:02d}", "timestamp": START + pd.to_timedelta(np.arange(n), unit="min"),
+            "reading_value": x}))
+    return pd.concat(parts).sort_values("timestamp")
+
+
+def land(spark, folder, batches):
+    """One file per batch, in landing order."""
+    for pdf in batches:
+        df = spark.createDataFrame(pdf).withColumn(
+            "reading_value", F.nanvl("reading_value", F.lit(None).cast("double")))
+        df.coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.read.parquet(str(folder)).schema
+
+
+def drain(spark, stream, path):
+    run = stream.writeStream.format("parquet").option("checkpointLocation", f"{path}-ck") \
+        .trigger(availableNow=True).start(str(path))
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(str(path))
+
+
+def shuffled_batches(pdf, size, jitter, seed=1):
+    """Rows in arrival order: out of time order by up to ``jitter`` places."""
+    rng = np.random.default_rng(seed)
+    order = np.argsort(np.arange(len(pdf)) + rng.uniform(0, jitter, len(pdf)), kind="stable")
+    moved = pdf.iloc[order]
+    return [moved.iloc[i:i + size] for i in range(0, len(moved), size)]
+
+
+@pytest.mark.parametrize("max_gap", [0, 3])
+def test_stream_equals_batch(spark, tmp_path, max_gap):
+    pdf = series()
+    schema = land(spark, tmp_path / "in", shuffled_batches(pdf, 150, jitter=40))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    features = streaming.stream_rolling(source, "60 minutes", max_gap=max_gap)
+    got = drain(spark, features, tmp_path / "out").toPandas()
+
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    batch = clean.gap_fill_short(rows, max_gap=max_gap) if max_gap else rows.withColumn("is_imputed", F.lit(0))
+    want = windows.window_features(batch).toPandas()
+    assert got["late_rows"].max() == 0
+    columns = [c.split()[0] for c in OUTPUT.split(", ")][:-1]
+    both = got[columns].merge(want[columns], on=["sensor_id", "timestamp"], suffixes=("", "_batch"))
+    assert len(both) == len(got) >= 3 * 190
+    for c in columns[2:]:
+        np.testing.assert_allclose(
+            both[c].astype(float), both[f"{c}_batch"].astype(float), atol=1e-9, err_msg=c)
+
+
+def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
+    pdf = series(n=200, sensors=1)
+    late = pdf.iloc[[5]].assign(timestamp=pdf.iloc[5]["timestamp"] + pd.Timedelta(seconds=30))
+    schema = land(spark, tmp_path / "in", [pdf.iloc[:100], pdf.iloc[100:150], late, pdf.iloc[150:]])
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = drain(spark, streaming.stream_rolling(source, "0 seconds", max_gap=0), tmp_path / "out").toPandas()
+    assert got["timestamp"].is_unique and len(got) == 200
+    assert late.iloc[0]["timestamp"].tz_localize(None) not in set(got["timestamp"])
+
+
+def test_alert_stream(spark, tmp_path):
+    schema = land(spark, tmp_path / "in", [series()])
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    out = drain(spark, streaming.stream_alerts(streaming.stream_rolling(source, "0 seconds")), tmp_path / "out")
+    batch = windows.window_features(clean.gap_fill_short(spark.read.parquet(str(tmp_path / "in"))))
+    want = batch.where("anomaly_flag = 1").select("timestamp", "sensor_id").collect()
+    assert len(want) >= 3
+    assert sorted(out.select("timestamp", "sensor_id").collect()) == sorted(want)
+    assert out.columns == ["timestamp", "sensor_id", "reading_value", "z_score", "alert"]
+
+
+def message(minute, source, **values):
+    at = (START + pd.Timedelta(minutes=minute)).isoformat()
+    return json.dumps({"timestamp": at, "source": source, **values})
+
+
+def test_ingest_keeps_every_line_once_and_the_last_one_wins(spark, tmp_path):
+    landing, target, checkpoint = tmp_path / "landing", str(tmp_path / "log"), str(tmp_path / "ck")
+    landing.mkdir()
+    channels = ("S01", "S02")
+
+    def run():
+        stream = streaming.message_stream(spark, str(landing), channels)
+        streaming.ingest_messages(stream, target, checkpoint, channels).awaitTermination()
+
+    (landing / "a.json").write_text("\n".join([
+        message(0, "http_stream", S01=1.0, S02=2.0), "", "not json",
+        message(0, "http_stream", S01=1.5, S02=2.5), message(1, "mqtt_stream", S01=7.0, S02="bad"),
+    ]))
+    run()
+    (landing / "b.json").write_text("\n".join([
+        message(1, "http_stream", S01=8.0, S02=9.0), message(0, "mqtt_stream", S02=4.0)]))
+    run()
+    run()
+    log = spark.read.parquet(f"{target}/readings")
+    assert log.count() == 5 * 2
+    assert quarantined(spark, target).count() == 1
+    rows = streaming.current_readings(spark, target)
+    got = {(r["sensor_id"], r["minute"]): r["reading_value"] for r in rows.select(
+        "sensor_id", (F.unix_seconds("timestamp") / 60 % 60).cast("int").alias("minute"), "reading_value").collect()}
+    # mqtt_stream ranks after http_stream, so its rows win, null ones included.
+    assert got == {("S01", 0): None, ("S02", 0): 4.0, ("S01", 1): 7.0, ("S02", 1): None}
+    assert {r["source"] for r in rows.collect()} == {"mqtt_stream"}
+
+
+def test_stream_dedup_keeps_one_row_per_key(spark, tmp_path):
+    pdf = series(n=50)
+    schema = land(spark, tmp_path / "in", [pdf, pdf.iloc[60:]])
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = drain(spark, streaming.stream_dedup(source, "2 hours"), tmp_path / "out")
+    assert out.count() == len(pdf) == out.select("sensor_id", "timestamp").distinct().count()
