@@ -13,7 +13,7 @@ from fumarole.functions import indexed_value, parse_instant
 from fumarole.operators import clean, cross, model, quality, quantiles, summary, windows
 from fumarole.plans import pipeline
 from fumarole.plans.rowindex import with_row_index
-from fumarole.plans.sizing import shared_dir, stored
+from fumarole.plans.sizing import shared_dir, stored, stored_if_large
 from fumarole.settings import SENSORS, SUMMARY_FEATURES
 from fumarole.sinks import write_partitioned
 from fumarole.sources import (
@@ -40,11 +40,11 @@ def r6(c: str | Column, name: str | None = None) -> Column:
 
 
 def deduped(spark, sf, grain="minute") -> DataFrame:
-    return clean.dedup_keep_last(readings(spark, sf, grain), order=("seq",))
+    return stored_if_large(clean.dedup_keep_last(readings(spark, sf, grain), order=("seq",)), "unique")
 
 
 def filled(spark, sf) -> DataFrame:
-    return clean.gap_fill_short(deduped(spark, sf))
+    return stored_if_large(clean.gap_fill_short(deduped(spark, sf)), "filled")
 
 
 def scaled(spark, sf) -> DataFrame:
@@ -183,7 +183,7 @@ def dedup_keep_last(spark, sf):
 
 @query
 def gap_fill_short(spark, sf):
-    return filled(spark, sf).select(*KEY, r6("reading_value"), "is_imputed")
+    return clean.gap_fill_short(deduped(spark, sf)).select(*KEY, r6("reading_value"), "is_imputed")
 
 
 @query

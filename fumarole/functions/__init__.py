@@ -1,11 +1,11 @@
 """Column expressions."""
 
 from fumarole.functions.columns import (
-    co_correlation, finite, guarded_corr, indexed_value, micros, null_if_nan, parse_instant,
-    row_count_flag, weekend,
+    as_flag, co_correlation, finite, guarded_corr, indexed_value, micros, null_if_nan,
+    parse_instant, weekend,
 )
 
 __all__ = [
-    "co_correlation", "finite", "guarded_corr", "indexed_value", "micros", "null_if_nan",
-    "parse_instant", "row_count_flag", "weekend",
+    "as_flag", "co_correlation", "finite", "guarded_corr", "indexed_value", "micros",
+    "null_if_nan", "parse_instant", "weekend",
 ]

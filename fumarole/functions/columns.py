@@ -36,7 +36,7 @@ def weekend(ts: Column) -> Column:
     return (F.weekday(ts) >= 5).cast("int")
 
 
-def row_count_flag(c: Column) -> Column:
+def as_flag(c: Column) -> Column:
     """0/1 as an integer, 0 where the condition is null."""
     return F.coalesce(c, F.lit(False)).cast("int")
 

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fumarole.functions import row_count_flag
+from fumarole.functions import as_flag
 from fumarole.operators.windows import frame, rolling_columns, z_of
 from fumarole.plans.blocks import BLOCK, OWN, over_series
 from fumarole.plans.sizing import lookup
@@ -22,12 +23,16 @@ def dedup_keep_last(df: DataFrame, keys=KEYS, order=("priority", "seq")) -> Data
     """
     rows = df.dropna(subset=list(keys))
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    kept = [
-        F.max(c).alias(c) if list(order) == [c] else F.max_by(F.col(c), rank).alias(c)
-        for c in rest
-    ]
-    return rows.groupBy(*keys).agg(*kept).select(*df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    flat = all(isinstance(kinds[c], (T.NumericType, T.BooleanType, T.DatetimeType)) for c in rest)
+    if flat and len(order) == 1 and isinstance(kinds[order[0]], T.IntegralType):
+        # Fixed-width buffers, so Spark aggregates by hash and need not sort.
+        rank = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(2**63)))
+        kept = [F.max_by(c, rank).alias(c) for c in rest]
+        return rows.groupBy(*keys).agg(*kept).select(*df.columns)
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
+    out = rows.groupBy(*keys).agg(last).select(*keys, "_last.*")
+    return out.select(*df.columns)
 
 
 def _filled(rows: DataFrame, w: WindowSpec, max_gap: int, value: str = VALUE) -> DataFrame:
@@ -46,7 +51,7 @@ def _filled(rows: DataFrame, w: WindowSpec, max_gap: int, value: str = VALUE) ->
     chains = [" * ".join(f"_{side}{j}" for j in range(1, k + 1)) for side in sides for k in steps]
     run = " + ".join(["1", *chains])
     short = F.expr(f"{value} is null and {run} <= {max_gap}")
-    rows = rows.withColumn("is_imputed", row_count_flag(short))
+    rows = rows.withColumn("is_imputed", as_flag(short))
     fill = F.when(F.col("is_imputed") == 1, F.col("_previous")).otherwise(F.col(value))
     return rows.withColumn(value, fill).drop(*near)
 
@@ -73,7 +78,7 @@ def clean_windows(
         rows = _filled(rows, w, max_gap).withColumns(
             {"rolling_avg": stats["rolling_avg"], "moving_std": stats["moving_std"]}
         )
-        return rows.withColumn("outlier_flag", row_count_flag(F.abs(z_of()) > threshold))
+        return rows.withColumn("outlier_flag", as_flag(F.abs(z_of()) > threshold))
 
     return over_series(df, build, before=window - 1 + max_gap, after=max_gap, block_rows=block_rows)
 

@@ -7,7 +7,7 @@ place in the frame but are no samples.
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from fumarole.functions import row_count_flag, weekend
+from fumarole.functions import as_flag, weekend
 from fumarole.plans.blocks import over_series
 from fumarole.settings import THRESHOLD, TIME, VALUE, WINDOW
 
@@ -61,7 +61,7 @@ def stability() -> Column:
 
 
 def rule_flag(z: str = "z_score", threshold: float = THRESHOLD) -> Column:
-    return row_count_flag(F.abs(F.col(z)) > threshold)
+    return as_flag(F.abs(F.col(z)) > threshold)
 
 
 def rolling_stats(

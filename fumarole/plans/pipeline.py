@@ -9,6 +9,7 @@ from fumarole.operators import model, quality
 from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_normalize
 from fumarole.operators.cross import cross_features
 from fumarole.operators.windows import reading_date, sliding_window_aggregates, window_features
+from fumarole.plans.sizing import stored_if_large
 from fumarole.settings import N_CHANNELS
 from fumarole.sinks import (
     as_stored, save_model, save_table, write_csv, write_json, write_parquet, write_partitioned,
@@ -17,7 +18,8 @@ from fumarole.sinks import (
 
 def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None = None) -> DataFrame:
     """Dedup, short-gap fill, rolling outliers, scaling, date."""
-    unique = dedup_keep_last(raw, order=order)
+    # Block layout, extremes and windows all pass over these rows.
+    unique = stored_if_large(dedup_keep_last(raw, order=order), "unique")
     rows = clean_windows(unique, block_rows=block_rows)
     return minmax_normalize(rows, extremes_of=unique).withColumn("reading_date", reading_date())
 

@@ -1,11 +1,12 @@
 """Dense row numbers in file order, without sorting or moving the rows."""
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fumarole.plans.sizing import lookup
+
 INDEX = "row_index"
+SPLIT = ["_path", "_at"]
 
 
 def with_row_index(df: DataFrame, name: str = INDEX) -> DataFrame:
@@ -13,20 +14,16 @@ def with_row_index(df: DataFrame, name: str = INDEX) -> DataFrame:
 
     ``df`` must be a scan (or a projection of one), so that ``_metadata`` is
     there. Each split counts its rows, the counts give every split its offset,
-    and a row adds its place inside the split. Only the split table, one row per
-    input split, passes the driver.
+    and a row adds its place inside the split. The table of splits, one row per
+    split of the input, is all that is ordered in one place.
     """
-    split = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at")]
-    rows = df.select("*", *split, F.monotonically_increasing_id().alias("_id"))
-    table = (
-        rows.groupBy("_path", "_at").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
-        .toArrow().sort_by([("_path", "ascending"), ("_at", "ascending")])
-    )
-    offset = np.cumsum([0] + table["n"].to_pylist()[:-1], dtype="int64")
-    table = table.drop_columns(["n"]).append_column("_offset", pa.array(offset, pa.int64()))
-    splits = F.broadcast(df.sparkSession.createDataFrame(table))
+    path, at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    rows = df.select("*", path.alias("_path"), at.alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    splits = rows.groupBy(*SPLIT).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    upto = F.sum("_n").over(Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, 0))
+    offsets = splits.select(*SPLIT, (upto - F.col("_n") - F.col("_first")).alias("_shift"))
     return (
-        rows.join(splits, ["_path", "_at"])
-        .withColumn(name, F.col("_offset") + F.col("_id") - F.col("_first"))
-        .drop("_path", "_at", "_id", "_offset", "_first")
+        lookup(rows, offsets, SPLIT)
+        .withColumn(name, F.col("_id") + F.col("_shift"))
+        .drop(*SPLIT, "_id", "_shift")
     )

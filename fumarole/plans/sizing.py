@@ -84,3 +84,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_if_large(df: DataFrame, name: str) -> DataFrame:
+    """``stored`` unless computing the rows again costs next to nothing."""
+    return df if is_small(df) else stored(df, name)

@@ -21,9 +21,9 @@ OUTPUT = (
     "sensor_id string, timestamp timestamp, reading_value double, is_imputed int, "
     "rolling_avg double, moving_std double, rolling_min double, rolling_max double, "
     "lag_1 double, lag_5 double, rate_of_change double, z_score double, "
-    "peak_frequency int, stability_score double, anomaly_flag int, late_rows long"
+    "peak_frequency int, stability_score double, anomaly_flag int"
 )
-STATE = "held_at array<long>, held array<double>, tail array<double>, seen long, last long, late long"
+STATE = "held_at array<long>, held array<double>, tail array<double>"
 
 
 def window_values(x: np.ndarray, start: int, window: int, threshold: float) -> dict[str, np.ndarray]:
@@ -79,27 +79,20 @@ def stream_rolling(
 ) -> DataFrame:
     """Gap fill and window features of a stream, one row per reading the watermark settled.
 
-    Readings must be unique per sensor and instant. Rows that come after their
-    place was emitted are dropped and counted in ``late_rows``.
+    Readings must be unique per sensor and instant. Rows behind the watermark are
+    dropped; the query's progress counts them as ``numRowsDroppedByWatermark``.
     """
     past = 2 * (window - 1)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            at, held, tail, seen, last, late = state.get
-            at, held = [np.array(at, dtype="int64")], [np.array(held, dtype="float64")]
-            tail = np.array(tail, dtype="float64")
-        else:
-            at, held, tail, seen, last, late = [], [], np.array([]), 0, None, 0
+        at, held, tail = state.get if state.exists else ([], [], [])
+        at, held = [np.array(at, dtype="int64")], [np.array(held, dtype="float64")]
+        tail = np.array(tail, dtype="float64")
         if not state.hasTimedOut:
             for chunk in chunks:
-                t = chunk["_t"].to_numpy("int64")
-                fresh = t > last if last is not None else np.ones(len(t), dtype=bool)
-                late += int((~fresh).sum())
-                at.append(t[fresh])
-                held.append(chunk["_x"].to_numpy("float64")[fresh])
-        t = np.concatenate(at) if at else np.array([], dtype="int64")
-        x = np.concatenate(held) if held else np.array([])
+                at.append(chunk["_t"].to_numpy("int64"))
+                held.append(chunk["_x"].to_numpy("float64"))
+        t, x = np.concatenate(at), np.concatenate(held)
         order = np.argsort(t, kind="stable")
         t, x = t[order], x[order]
         mark = state.getCurrentWatermarkMs()
@@ -110,12 +103,10 @@ def stream_rolling(
             columns = window_values(values, len(tail), window, threshold)
             yield pd.DataFrame({
                 SENSOR: key[0], TIME: pd.to_datetime(t[:done], unit="us"), VALUE: filled,
-                "is_imputed": flags, **columns, "late_rows": late,
+                "is_imputed": flags, **columns,
             })
-            tail, last, seen = values[-past:], int(t[done - 1]), seen + done
-        state.update((
-            t[done:].tolist(), _nullable(x[done:]), _nullable(tail), seen, last, late,
-        ))
+            tail = values[-past:]
+        state.update((t[done:].tolist(), _nullable(x[done:]), _nullable(tail)))
         if ready < len(t):
             state.setTimeoutTimestamp(max(int(t[ready] // 1000) + 1, mark + 1))
 

@@ -62,8 +62,7 @@ def test_stream_equals_batch(spark, tmp_path, max_gap):
     rows = spark.read.parquet(str(tmp_path / "in"))
     batch = clean.gap_fill_short(rows, max_gap=max_gap) if max_gap else rows.withColumn("is_imputed", F.lit(0))
     want = windows.window_features(batch).toPandas()
-    assert got["late_rows"].max() == 0
-    columns = [c.split()[0] for c in OUTPUT.split(", ")][:-1]
+    columns = [c.split()[0] for c in OUTPUT.split(", ")]
     both = got[columns].merge(want[columns], on=["sensor_id", "timestamp"], suffixes=("", "_batch"))
     assert len(both) == len(got) >= 3 * 190
     for c in columns[2:]:
@@ -71,7 +70,7 @@ def test_stream_equals_batch(spark, tmp_path, max_gap):
             both[c].astype(float), both[f"{c}_batch"].astype(float), atol=1e-9, err_msg=c)
 
 
-def test_rows_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
+def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     pdf = series(n=200, sensors=1)
     late = pdf.iloc[[5]].assign(timestamp=pdf.iloc[5]["timestamp"] + pd.Timedelta(seconds=30))
     schema = land(spark, tmp_path / "in", [pdf.iloc[:100], pdf.iloc[100:150], late, pdf.iloc[150:]])
