@@ -239,10 +239,13 @@ ORACLE: dict[str, str] = {
     "sensor_correlation": chain(
         f"select ts_t as timestamp, {r6('sensor_correlation')} from i where n > 0", *HOURLY),
     "gas_estimate": chain(f"select ts_t as timestamp, {r6('gas_concentration_est')} from i", *HOURLY),
-    "correlation_matrix": f"""with p as (select ts_t, sensor_id, avg(x) as x from ({base('hour')}) group by all)
-        select a.sensor_id as sensor_a, b.sensor_id as sensor_b,
+    "correlation_matrix": f"""with p as (select ts_t, sensor_id, avg(x) as x from ({base('hour')}) group by all),
+        s as (select distinct sensor_id from p)
+        select s.sensor_id as sensor_a, o.sensor_id as sensor_b,
                {r6(CORR.format(x="a.x", y="b.x"), "correlation")}
-        from p a join p b using (ts_t) group by a.sensor_id, b.sensor_id""",
+        from s cross join s o join p a on a.sensor_id = s.sensor_id
+             left join p b on b.sensor_id = o.sensor_id and b.ts_t = a.ts_t
+        group by s.sensor_id, o.sensor_id""",
     "pivot_mean": f"""select ts_t as timestamp, {", ".join(
         r6(f"avg(x) filter (where sensor_id = '{s}')", s) for s in SENSORS)}
         from ({base('hour')}) group by ts_t having count(x) > 0""",

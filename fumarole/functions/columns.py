@@ -67,6 +67,7 @@ def guarded_corr(x: Column, y: Column) -> Column:
 
 def co_correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
     """Correlation from the summed moments of a pair; null when one side is constant."""
+    n = F.nullif(n, F.lit(0.0))  # two sensors may share no instant
     cov = sxy - sx * sy / n
     vx, vy = sxx - sx * sx / n, syy - sy * sy / n
     # Moments of a constant leave rounding dust; compare it with the size of the sums.

@@ -106,38 +106,49 @@ def expected_path(n):
     return np.where(n > 2, path, np.where(n == 2, 1.0, 0.0))
 
 
+def _full_tree(tree: pd.DataFrame, height: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, cut) of a tree filled up to ``height`` levels, and path lengths of its last level.
+
+    Node ``i`` has the children ``2i + 1`` and ``2i + 2``; below a leaf all rows go left.
+    """
+    inner = 2**height - 1
+    feature, cut = np.zeros(inner, dtype="int64"), np.full(inner, np.inf)
+    node = np.zeros(2 * inner + 1, dtype="int64")
+    split, length = tree["feature"] >= 0, tree["depth"] + expected_path(tree["size"])
+    for i in range(inner):
+        here = node[i]
+        if split[here]:
+            feature[i], cut[i] = tree.at[here, "feature"], tree.at[here, "threshold"]
+            node[2 * i + 1], node[2 * i + 2] = tree.at[here, "left"], tree.at[here, "right"]
+        else:
+            node[2 * i + 1] = node[2 * i + 2] = here
+    return feature, cut, length.to_numpy()[node[inner:]]
+
+
 def score_iforest(df: DataFrame, nodes: DataFrame, features=tuple(MODEL_FEATURES)) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1]; only the feature columns travel to Python.
 
     The node table has at most ``2 * psi`` rows per tree, whatever the data.
     """
     table = nodes.orderBy("tree_id", "node_id").toArrow().to_pandas()
-    trees = []
-    for _, t in table.groupby("tree_id"):
-        leaf = t["feature"].to_numpy() < 0
-        me = t["node_id"].to_numpy()
-        trees.append((
-            np.where(leaf, 0, t["feature"]).astype("int64"),
-            np.where(leaf, np.inf, t["threshold"]),
-            np.where(leaf, me, t["left"]).astype("int64"),
-            np.where(leaf, me, t["right"]).astype("int64"),
-            t["depth"].to_numpy() + expected_path(t["size"]),
-            int(t["depth"].max()),
-        ))
+    height = int(table["depth"].max()) if len(table) else 0
+    trees = [_full_tree(t.set_index("node_id"), height) for _, t in table.groupby("tree_id")]
     psi = table.loc[table["depth"] == 0, "size"].max() if len(table) else 0
     scale = max(float(expected_path(psi)), 1e-12)
     forest = df.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy("float64") for c in cols])
-        start, flat = np.arange(len(x)) * x.shape[1], x.ravel()
-        path = np.zeros(len(x))
-        for feature, cut, left, right, length, depth in forest.value:
-            at = np.zeros(len(x), dtype="int64")
-            for _ in range(depth):
-                at = np.where(flat[start + feature[at]] <= cut[at], left[at], right[at])
-            path += length[at]
+        x, n = np.concatenate([c.to_numpy("float64") for c in cols]), len(cols[0])
+        row, path = np.arange(n), np.zeros(n)
+        for feature, cut, length in forest.value:
+            column = feature * n
+            at = np.zeros(n, dtype="int64")
+            for _ in range(height):
+                right = x.take(column.take(at) + row) > cut.take(at)
+                at += at + 1
+                at += right
+            path += length.take(at - len(cut))
         return pd.Series(np.exp2(-path / max(len(forest.value), 1) / scale))
 
     inputs = [F.coalesce(finite(F.col(c)), F.lit(0.0)) for c in features]

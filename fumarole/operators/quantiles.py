@@ -1,6 +1,7 @@
 """Exact quantiles and the describe table, at any size."""
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,100 +29,95 @@ def exact_quantiles(
         at = F.array(*[F.lit(p) for p in probs])
         row = rows.agg(*[F.percentile(c, at).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-    counts = rows.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = set()
-    for c in columns:
-        for p in probs if counts[c] else []:
-            h = p * (counts[c] - 1)
-            wanted |= {(c, math.floor(h)), (c, math.ceil(h))}
-    found = order_statistics(rows, sorted(wanted), {c: counts[c] for c in columns})
-    out: dict[str, list[float | None]] = {c: [] for c in columns}
-    for c in columns:
-        for p in probs:
-            if not counts[c]:
-                out[c].append(None)
-                continue
-            h = p * (counts[c] - 1)
-            low, high = found[c, math.floor(h)], found[c, math.ceil(h)]
-            out[c].append(low + (high - low) * (h - math.floor(h)))
-    return out
+    return {c: _column_quantiles(rows.select(F.col(c).alias("x")).dropna(), probs) for c in columns}
+
+
+def _column_quantiles(values: DataFrame, probs: list[float]) -> list[float | None]:
+    n = values.count()
+    if not n:
+        return [None] * len(probs)
+    at = [p * (n - 1) for p in probs]
+    found = order_statistics(values, {r for h in at for r in (math.floor(h), math.ceil(h))}, n)
+    return [
+        found[math.floor(h)] + (found[math.ceil(h)] - found[math.floor(h)]) * (h - math.floor(h)) for h in at
+    ]
+
+
+@dataclass(frozen=True)
+class Bracket:
+    """Values from ``low`` to ``high``; ``below`` rows lie under it, ``inside`` rows in it."""
+
+    low: float
+    high: float
+    below: int
+    inside: int
 
 
 def order_statistics(
-    rows: DataFrame, wanted: list[tuple[str, int]], counts: dict[str, int],
-    accuracy: int = ACCURACY, bracket_rows: int = BRACKET_ROWS,
-) -> dict[tuple[str, int], float]:
-    """The values at 0-based ranks of columns, found by narrowing brackets around them.
-
-    One pass sketches inside every open bracket, one counts what the sketch
-    found; rank error shrinks by about ``accuracy`` each round. The ends of a
-    bracket are counted on their own, so repeated values cannot stall it.
+    values: DataFrame, ranks: set[int], n: int, accuracy: int = ACCURACY, bracket_rows: int = BRACKET_ROWS
+) -> dict[int, float]:
+    """The values of ``x`` at 0-based ranks, found by narrowing brackets around them.
+
+    A sketch proposes narrower brackets, one count makes them certain; each round
+    shrinks a bracket by about ``accuracy``. The ends of a bracket are counted on
+    their own, so repeated values cannot stall it. All passes read one column.
     """
-    # (column, rank) -> [low, high, rows below low, rows inside]
-    state = {w: [-math.inf, math.inf, 0, counts[w[0]]] for w in wanted}
-    found: dict[tuple[str, int], float] = {}
-    while True:
-        ready = [w for w in state if state[w][3] <= bracket_rows]
-        found |= _read_brackets(rows, {w: state.pop(w) for w in ready})
-        if not state:
-            return found
-        sketch = []
-        for i, ((c, rank), (low, high, below, inside)) in enumerate(state.items()):
-            q = (rank - below + 0.5) / inside
-            at = [max(0.0, q - 2 / accuracy), min(1.0, q + 2 / accuracy)]
-            x = F.when(F.col(c).between(low, high), F.col(c))
-            sketch.append(F.percentile_approx(x, at, accuracy).alias(f"s{i}"))
-        brackets = rows.agg(*sketch).first()
-        tally = []
-        for i, ((c, _), (low, high, _, _)) in enumerate(state.items()):
-            a, b = brackets[i]
-            x = F.col(c)
-            tally += [
-                F.count_if(x < a).alias(f"b{i}"), F.count_if(x == a).alias(f"a{i}"),
-                F.count_if((x > a) & (x < b)).alias(f"m{i}"), F.count_if(x == b).alias(f"z{i}"),
-            ]
-        seen = rows.agg(*tally).first()
-        for i, w in enumerate(list(state)):
-            a, b = brackets[i]
-            low, high, below, inside = state[w]
-            under, at_a, middle, at_b = seen[f"b{i}"], seen[f"a{i}"], seen[f"m{i}"], seen[f"z{i}"]
-            rank = w[1]
-            if rank < under:
-                state[w] = [low, np.nextafter(a, -math.inf), below, under - below]
-            elif rank < under + at_a:
-                found[w] = a
-                del state[w]
-            elif rank < under + at_a + middle:
-                state[w] = [np.nextafter(a, math.inf), np.nextafter(b, -math.inf), under + at_a, middle]
-            elif rank < under + at_a + middle + at_b:
-                found[w] = b
-                del state[w]
-            else:
-                upto = under + at_a + middle + at_b
-                state[w] = [np.nextafter(b, math.inf), high, upto, below + inside - upto]
-
-
-def _read_brackets(rows: DataFrame, brackets: dict) -> dict[tuple[str, int], float]:
-    """Values at the ranks whose brackets hold few rows, equal values counted once."""
-    if not brackets:
-        return {}
-    spans = {}
-    for i, ((c, _), (low, high, _, _)) in enumerate(brackets.items()):
-        x = F.col(c)
-        spans[i] = F.when(x.between(low, high), F.struct(F.lit(i).alias("i"), x.alias("x")))
-    pieces = F.filter(F.array(*spans.values()), lambda p: p.isNotNull())
-    values = rows.select(F.inline(pieces)).groupBy("i", "x").agg(F.count("*").alias("n"))
-    table = bounded_rows(values, sum(int(b[3]) for b in brackets.values())).toArrow()
-    index, x, n = (table[c].to_numpy() for c in ("i", "x", "n"))
-    out = {}
-    for i, (w, (_, _, below, _)) in enumerate(brackets.items()):
-        mine = index == i
-        order = np.argsort(x[mine])
-        upto = below + np.cumsum(n[mine][order])
-        out[w] = float(x[mine][order][np.searchsorted(upto, w[1], side="right")])
+    open_ranks = {r: Bracket(-math.inf, math.inf, 0, n) for r in ranks}
+    found: dict[int, float] = {}
+    while open_ranks:
+        for b in {b for b in open_ranks.values() if b.inside <= bracket_rows}:
+            mine = [r for r, other in open_ranks.items() if other == b]
+            found |= _read_bracket(values, b, mine)
+            open_ranks = {r: other for r, other in open_ranks.items() if other != b}
+        for b in set(open_ranks.values()):
+            mine = [r for r, other in open_ranks.items() if other == b]
+            ends = _sketch(values, b, mine, accuracy)
+            for r, known in _locate(values, b, mine, ends).items():
+                if isinstance(known, Bracket):
+                    open_ranks[r] = known
+                else:
+                    found[r] = known
+                    del open_ranks[r]
+    return found
+
+
+def _sketch(values: DataFrame, b: Bracket, ranks: list[int], accuracy: int) -> list[float]:
+    """Ends of narrower brackets around the ranks, as likely as the sketch is accurate."""
+    at = [(r - b.below + 0.5) / b.inside + side * 2 / accuracy for r in ranks for side in (-1, 1)]
+    at = sorted({min(1.0, max(0.0, q)) for q in at})
+    inside = values.where(F.col("x").between(b.low, b.high))
+    return sorted(set(inside.agg(F.percentile_approx("x", at, accuracy)).first()[0]))
+
+
+def _locate(values: DataFrame, b: Bracket, ranks: list[int], ends: list[float]) -> dict:
+    """For each rank the end it falls on, or the bracket between two ends it falls in."""
+    # Slot 2k is the values between the ends k - 1 and k, slot 2k + 1 is the end k itself.
+    slot = F.lit(2 * len(ends))
+    for k in reversed(range(len(ends))):
+        slot = F.when(F.col("x") < ends[k], 2 * k).when(F.col("x") == ends[k], 2 * k + 1).otherwise(slot)
+    inside = values.where(F.col("x").between(b.low, b.high)).groupBy(slot.alias("slot")).count()
+    sizes = {r["slot"]: r["count"] for r in inside.collect()}
+    out, below = {}, b.below
+    for s in range(2 * len(ends) + 1):
+        size = sizes.get(s, 0)
+        k, on_end = divmod(s, 2)
+        low = b.low if k == 0 else np.nextafter(ends[k - 1], math.inf)
+        high = b.high if k == len(ends) else np.nextafter(ends[k], -math.inf)
+        known = ends[k] if on_end else Bracket(float(low), float(high), below, size)
+        out |= {r: known for r in ranks if below <= r < below + size}
+        below += size
     return out
 
 
+def _read_bracket(values: DataFrame, b: Bracket, ranks: list[int]) -> dict[int, float]:
+    """Values at the ranks of a bracket with few rows, equal values counted once."""
+    inside = values.where(F.col("x").between(b.low, b.high)).groupBy("x").agg(F.count("*").alias("n"))
+    table = bounded_rows(inside, b.inside).toArrow().sort_by("x")
+    upto = b.below + np.cumsum(table["n"].to_numpy())
+    x = table["x"].to_numpy()
+    return {r: float(x[np.searchsorted(upto, r, side="right")]) for r in ranks}
+
+
 def describe(df: DataFrame, columns: list[str], small: bool | None = None) -> DataFrame:
     """One row per column: count, mean, deviation, extremes and exact quartiles."""
     small = is_small(df) if small is None else small

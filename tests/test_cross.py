@@ -104,3 +104,12 @@ def test_bounded_rows(spark):
     assert not sizing.is_small(big)
     joined = sizing.lookup(spark.range(5), big.where("id < 3").withColumn("v", F.lit(1)), ["id"])
     assert joined.where("v = 1").count() == 3
+
+
+def test_sensors_that_never_meet(spark):
+    x = noisy(seed=6, gaps=0.0)
+    x[::2, 0] = np.nan
+    x[1::2, 1] = np.nan
+    out = cross.correlation_matrix(matrix(spark, x))
+    pair = out.where("sensor_a = 'S01' and sensor_b = 'S02'").first()
+    assert pair["correlation"] is None and out.count() == 25
