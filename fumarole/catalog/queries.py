@@ -11,7 +11,7 @@ from fumarole.catalog.tables import (
 )
 from fumarole.functions import indexed_value, parse_instant
 from fumarole.operators import clean, cross, model, quality, quantiles, summary, windows
-from fumarole.plans import pipeline
+from fumarole.plans import stages
 from fumarole.plans.rowindex import with_row_index
 from fumarole.plans.sizing import shared_dir, stored, stored_if_large
 from fumarole.settings import SENSORS, SUMMARY_FEATURES
@@ -53,11 +53,11 @@ def scaled(spark, sf) -> DataFrame:
 
 
 def clean_rows(spark, sf) -> DataFrame:
-    return pipeline.cleaned(readings(spark, sf), order=("seq",))
+    return stages.cleaned(readings(spark, sf), order=("seq",))
 
 
 def feature_rows(spark, sf) -> DataFrame:
-    return pipeline.features(stored(clean_rows(spark, sf), "cleaned"))
+    return stages.features(stored(clean_rows(spark, sf), "cleaned"))
 
 
 def scratch(spark, name: str) -> str:

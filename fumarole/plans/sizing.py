@@ -60,6 +60,9 @@ def salted_join(df: DataFrame, stats: DataFrame, keys: list[str], salts: int = 3
     return df.withColumn("_salt", spread).join(copies, keys + ["_salt"], "left").drop("_salt")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session names it.
 
@@ -70,9 +73,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="fumarole-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="fumarole-")
+    return _own_dirs[app]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -63,16 +63,17 @@ def canonicalize(
 
 
 def wide_to_long(
-    wide: DataFrame, batch_id: str, channels=tuple(SENSORS), gas_type: str = GAS_TYPE, unit: str = UNIT
+    wide: DataFrame, batch_id: str, channels=tuple(SENSORS), gas_type: str = GAS_TYPE, unit: str = UNIT,
+    keep=(),
 ) -> DataFrame:
-    """One row per instant and channel; missing readings are kept, other columns dropped."""
+    """One row per instant and channel; missing readings are kept, columns not in ``keep`` dropped."""
+    ids = ["timestamp", "source", *keep]
     numbers = [F.nanvl(F.col(c).try_cast("float"), F.lit(None).cast("float")).alias(c) for c in channels]
-    rows = wide.select("timestamp", "source", *numbers)
-    long = rows.unpivot(["timestamp", "source"], list(channels), "sensor_id", "reading_value")
+    long = wide.select(*ids, *numbers).unpivot(ids, list(channels), "sensor_id", "reading_value")
     return long.select(
         "sensor_id", "timestamp", "reading_value", F.lit(gas_type).alias("gas_type"),
         F.lit(unit).alias("unit"), "source", F.current_timestamp().alias("ingestion_timestamp"),
-        F.lit(batch_id).alias("load_batch_id"),
+        F.lit(batch_id).alias("load_batch_id"), *keep,
     )
 
 

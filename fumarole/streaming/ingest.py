@@ -44,13 +44,7 @@ def ingest_messages(
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, "path", "line")
         bad.write.mode("overwrite").parquet(f"{target}/quarantine/batch_no={number}")
         good = message_frame(rows, channels)
-        # The arrival columns ride along as one column while channels become rows.
-        long = wide_to_long(
-            good.withColumn("source", F.struct("source", *ARRIVAL)), batch_id, channels
-        )
-        long = long.select(
-            *[F.col(c) for c in long.columns if c != "source"], "source.*"
-        )
+        long = wide_to_long(good, batch_id, channels, keep=ARRIVAL)
         long.write.mode("overwrite").parquet(f"{target}/readings/batch_no={number}")
 
     return (

@@ -15,6 +15,7 @@ def spark():
         SparkSession.builder.master("local[8]").appName("fumarole-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")

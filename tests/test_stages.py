@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fumarole import schema, sinks, sources
 from fumarole.operators import quality
-from fumarole.plans import pipeline
+from fumarole.plans import stages
 from fumarole.settings import SENSORS
 
 
@@ -28,7 +28,7 @@ def layers(spark, tmp_path_factory):
     feed = sources.wide_to_long(wide(spark, 100, 1, "http_stream"), "s")
     raw = sources.union_sources([(batch, 0), (feed, 1)]).withColumn("seq", F.lit(0))
     out = str(tmp_path_factory.mktemp("layers"))
-    return pipeline.run(raw, out, tables=True)
+    return stages.run(raw, out, tables=True)
 
 
 def test_final_table(spark, layers):
@@ -69,7 +69,7 @@ def test_bad_data_fails_after_everything_is_written(spark, tmp_path):
     raw = sources.wide_to_long(wide(spark, 60), "b").where("sensor_id <> 'S16'")
     raw = raw.withColumns({"priority": F.lit(0), "seq": F.lit(0)})
     with pytest.raises(ValueError, match="consistency"):
-        pipeline.run(raw, str(tmp_path / "out"))
+        stages.run(raw, str(tmp_path / "out"))
     assert os.path.exists(tmp_path / "out" / "partitioned")
     report = sources.read_report(spark, str(tmp_path / "out" / "report"))
     with pytest.raises(ValueError):
@@ -83,7 +83,7 @@ def test_session_time_zone_does_not_matter(spark):
     try:
         for zone in ("UTC", "America/New_York"):
             spark.conf.set("spark.sql.session.timeZone", zone)
-            rows = pipeline.features(pipeline.cleaned(raw), block_rows=20)
+            rows = stages.features(stages.cleaned(raw), block_rows=20)
             got.append(sorted(map(tuple, rows.select(
                 "sensor_id", F.unix_seconds("timestamp"), "rolling_avg", "peak_frequency", "sensor_correlation"
             ).collect())))
