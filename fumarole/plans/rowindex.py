@@ -19,7 +19,10 @@ def with_row_index(df: DataFrame, name: str = INDEX) -> DataFrame:
     """
     path, at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     rows = df.select("*", path.alias("_path"), at.alias("_at"), F.monotonically_increasing_id().alias("_id"))
-    splits = rows.groupBy(*SPLIT).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    # Counting a real column makes text sources skip blank lines in this pass too.
+    some = F.col(f"`{df.columns[0]}`")
+    n = F.count(some) + F.count_if(some.isNull())
+    splits = rows.groupBy(*SPLIT).agg(n.alias("_n"), F.min("_id").alias("_first"))
     upto = F.sum("_n").over(Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, 0))
     offsets = splits.select(*SPLIT, (upto - F.col("_n") - F.col("_first")).alias("_shift"))
     return (

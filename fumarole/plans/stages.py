@@ -2,20 +2,31 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fumarole import sources
 from fumarole.operators import model, quality
 from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_normalize
 from fumarole.operators.cross import cross_features
 from fumarole.operators.windows import reading_date, sliding_window_aggregates, window_features
 from fumarole.plans.sizing import stored_if_large
-from fumarole.settings import N_CHANNELS
+from fumarole.settings import N_CHANNELS, SENSORS
 from fumarole.sinks import (
     as_stored, save_model, save_table, write_csv, write_json, write_parquet, write_partitioned,
 )
 
 
+def load_raw(spark: SparkSession, wide_csv: str, feeds=(), channels=tuple(SENSORS)) -> DataFrame:
+    """Long readings of a wide CSV and of message files; later feeds win over earlier ones."""
+    batch = sources.canonicalize(sources.read_wide_csv(spark, wide_csv), channels)
+    parts = [(sources.wide_to_long(batch, "batch", channels).withColumn("seq", F.lit(0).cast("long")), 0)]
+    for priority, path in enumerate(feeds, 1):
+        messages = sources.message_frame(sources.read_messages(spark, path, channels, number="seq"), channels)
+        parts.append((sources.wide_to_long(messages, "stream", channels, keep=["seq"]), priority))
+    return sources.union_sources(parts)
+
+
 def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None = None) -> DataFrame:
     """Dedup, short-gap fill, rolling outliers, scaling, date."""
     # Block layout, extremes and windows all pass over these rows.

@@ -114,6 +114,24 @@ def test_messages(spark, tmp_path):
         sources.read_messages(spark, str(path), on_bad="fail").collect()
 
 
+def test_message_numbers_skip_blank_lines(spark, tmp_path):
+    path = tmp_path / "feed.jsonl"
+    lines = []
+    for i in range(300):
+        lines += [json.dumps({"timestamp": "2025-01-01T00:00:00Z", "source": "s", "S01": i})] + [""] * (i % 4)
+    path.write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        rows = sources.read_messages(spark, str(path), ("S01",), number="seq")
+        assert rows.rdd.getNumPartitions() > 2
+        got = [(r["seq"], int(r["S01"])) for r in rows.orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(i, i) for i in range(300)]
+    assert sources.read_messages(spark, str(tmp_path / "absent"), number="seq").columns[-1] == "seq"
+
+
 def test_union_marks_priority_and_fills_columns(spark):
     a = spark.createDataFrame([("S01", 1)], "sensor_id string, v int")
     b = spark.createDataFrame([("S02", "x")], "sensor_id string, note string")

@@ -1,3 +1,4 @@
+import json
 import os
 
 import numpy as np
@@ -104,3 +105,24 @@ def test_dynamic_partition_overwrite(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     with pytest.raises(ValueError):
         sinks.write_partitioned(second, path, mode="append")
+
+
+def test_raw_files_to_features(spark, tmp_path):
+    """The last line of the last feed wins; an absent feed is no error."""
+    header = ",".join([f"a{k}" for k in range(16)] + ["class"])
+    lines = [",".join([f"{k}:{100 * k + i}" for k in range(16)] + ["3"]) for i in range(50)]
+    (tmp_path / "wide.csv").write_text("\n".join([header, *lines]))
+
+    def message(minute, value):
+        return json.dumps({"timestamp": f"2025-01-01T00:{minute:02d}:00+00:00", "source": "x",
+                           **{s: value for s in SENSORS}})
+
+    (tmp_path / "http.jsonl").write_text("\n".join([message(3, 1.0), "", message(3, 2.0), message(4, 5.0)]))
+    (tmp_path / "mqtt.jsonl").write_text(message(4, None) + "\n" + message(50, 7.0) + "\n{bad")
+    feeds = [str(tmp_path / f"{n}.jsonl") for n in ("http", "mqtt", "received")]
+    raw = stages.load_raw(spark, str(tmp_path / "wide.csv"), feeds)
+    assert raw.count() == 16 * (50 + 3 + 2)
+    rows = stages.cleaned(raw).where("sensor_id = 'S02'").orderBy("timestamp").collect()
+    assert len(rows) == 51
+    assert [r["reading_value"] for r in rows[:6]] == [100, 101, 102, 2, 2, 105]
+    assert rows[4]["is_imputed"] == 1 and rows[50]["reading_value"] == 7
