@@ -162,14 +162,6 @@ def _describe() -> str:
     return chain(parts, *FULL)
 
 
-def _stream(final: str) -> str:
-    # A watermark counts in whole milliseconds; the rows up to it are settled.
-    return chain(
-        final + " and ts_t <= (select date_trunc('milliseconds', max(ts)) from events)",
-        RAW, FEATURES, SCORED, FLAGGED,
-    )
-
-
 TOTALS = """select count(*) as row_count, count(distinct sensor_id) as sensor_count,
     avg(cast(x is null as int)) as missing, count(*) - count(distinct (sensor_id, ts_t)) as dups from {t}"""
 
@@ -278,10 +270,10 @@ ORACLE: dict[str, str] = {
     "sensor_tail": chain(f"""select ts_t as timestamp, {r6('x', 'reading_value')}, {r6('rolling_avg')}, anomaly_flag
         from g where sensor_id = 'S01' order by ts_t desc limit 1000""", *WINDOWED),
     "sort_readings": f"select {KEY}, {r6('x', 'reading_value')}, seq from ({base('minute')}) order by 1, 2",
-    "stream_rolling_features": _stream(f"""select {KEY}, {r6('x', 'reading_value')}, {r6_all(WINDOW_COLUMNS)},
-        peak_frequency, anomaly_flag from g where true"""),
-    "stream_alert_feed": _stream(f"""select {KEY}, {r6('x', 'reading_value')}, {r6('z_score')},
-        'SENSOR_ANOMALY' as alert from g where anomaly_flag = 1"""),
+    "stream_rolling_features": chain(f"""select {KEY}, {r6('x', 'reading_value')}, {r6_all(WINDOW_COLUMNS)},
+        peak_frequency, anomaly_flag from g""", RAW, FEATURES, SCORED, FLAGGED),
+    "stream_alert_feed": chain(f"""select {KEY}, {r6('x', 'reading_value')}, {r6('z_score')},
+        'SENSOR_ANOMALY' as alert from g where anomaly_flag = 1""", RAW, FEATURES, SCORED, FLAGGED),
     "stream_dedup_keys": f"select distinct {KEY} from ({base('minute')})",
     "stream_ingest_messages": f"""select printf('S%02d', cast(k + 1 as int)) as sensor_id,
         epoch_us(ts_t) as instant_us, {r6("embedding[4 * k + 1]", "reading_value")},

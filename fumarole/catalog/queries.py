@@ -20,7 +20,7 @@ from fumarole.sources import (
     feature_columns, pick_channels, positional_join, union_sources, usable_counts, wide_to_long,
 )
 from fumarole.streaming import (
-    current_readings, ingest_messages, message_stream, stream_alerts, stream_dedup, stream_rolling,
+    current_readings, ingest_messages, message_stream, rolling_batches, stream_alerts, stream_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -442,17 +442,24 @@ def wall_clock(c: str = "timestamp") -> Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
+def streamed_features(spark, sf) -> DataFrame:
+    target = scratch(spark, "rolling")
+    readings = event_stream(spark, sf, None)
+    run = rolling_batches(readings, target, scratch(spark, "rolling-checkpoint"), max_gap=0)
+    run.awaitTermination()
+    return spark.read.parquet(target)
+
+
 @query
 def stream_rolling_features(spark, sf):
-    out = drained(spark, stream_rolling(event_stream(spark, sf, None), "0 seconds", max_gap=0), "rolling")
-    return out.select("sensor_id", wall_clock(), r6("reading_value"), *[r6(c) for c in WINDOW_COLUMNS],
-                      "peak_frequency", "anomaly_flag")
+    return streamed_features(spark, sf).select(
+        "sensor_id", wall_clock(), r6("reading_value"), *[r6(c) for c in WINDOW_COLUMNS],
+        "peak_frequency", "anomaly_flag")
 
 
 @query
 def stream_alert_feed(spark, sf):
-    features = stream_rolling(event_stream(spark, sf, None), "0 seconds", max_gap=0)
-    out = drained(spark, stream_alerts(features), "alerts")
+    out = stream_alerts(streamed_features(spark, sf))
     return out.select("sensor_id", wall_clock(), r6("reading_value"), r6("z_score"), "alert")
 
 

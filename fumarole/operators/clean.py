@@ -35,7 +35,7 @@ def dedup_keep_last(df: DataFrame, keys=KEYS, order=("priority", "seq")) -> Data
     return out.select(*df.columns)
 
 
-def _filled(rows: DataFrame, w: WindowSpec, max_gap: int, value: str = VALUE) -> DataFrame:
+def fill_short_gaps(rows: DataFrame, w: WindowSpec, max_gap: int, value: str = VALUE) -> DataFrame:
     """Fill short missing runs, looking ``max_gap`` rows both ways.
 
     A row outside the series is not missing, so runs at either end count as the
@@ -63,7 +63,7 @@ def gap_fill_short(df: DataFrame, max_gap: int = MAX_GAP, block_rows: int | None
     nothing before it: it stays null but is flagged.
     """
     def build(rows, w):
-        return _filled(rows, w, max_gap)
+        return fill_short_gaps(rows, w, max_gap)
 
     return over_series(df, build, before=max_gap, after=max_gap, block_rows=block_rows)
 
@@ -75,7 +75,7 @@ def clean_windows(
     """Gap fill, rolling statistics and outlier flag in one pass over each series."""
     def build(rows, w):
         stats = rolling_columns(frame(w, window), min_mean=min_rows, min_std=min_rows)
-        rows = _filled(rows, w, max_gap).withColumns(
+        rows = fill_short_gaps(rows, w, max_gap).withColumns(
             {"rolling_avg": stats["rolling_avg"], "moving_std": stats["moving_std"]}
         )
         return rows.withColumn("outlier_flag", as_flag(F.abs(z_of()) > threshold))

@@ -125,18 +125,27 @@ def reading_date() -> Column:
     return F.date_format(TIME, "yyyy-MM-dd")
 
 
+def feature_columns(rows: DataFrame, w: WindowSpec, window: int = WINDOW) -> DataFrame:
+    """Rolling statistics, lags and peaks; a row depends on ``2 * (window - 1)`` rows before it."""
+    over = frame(w, window)
+    return _peaks(rows.withColumns({**rolling_columns(over), **lag_columns(w)}), over)
+
+
+def rule_columns(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Score, stability and flag, which follow from the row alone."""
+    return flag_anomalies(stability_score(z_score(rows)), threshold)
+
+
 def window_features(
     df: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD, block_rows: int | None = None
 ) -> DataFrame:
     """All per-sensor features of a cleaned table in one pass over each series."""
     def build(rows, w):
-        over = frame(w, window)
-        rows = rows.withColumns({**rolling_columns(over), **lag_columns(w)})
-        return _peaks(rows, over)
+        return feature_columns(rows, w, window)
 
     rows = df.drop("rolling_avg", "moving_std")
     rows = over_series(rows, build, before=2 * (window - 1), block_rows=block_rows)
-    return flag_anomalies(stability_score(z_score(time_features(rows))), threshold)
+    return rule_columns(time_features(rows), threshold)
 
 
 def sliding_window_aggregates(
