@@ -109,20 +109,21 @@ def expected_path(n):
 def _full_tree(tree: pd.DataFrame, height: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, cut) of a tree filled up to ``height`` levels, and path lengths of its last level.
 
-    Node ``i`` has the children ``2i + 1`` and ``2i + 2``; below a leaf all rows go left.
+    ``tree`` is in ``node_id`` order. Node ``i`` has the children ``2i + 1`` and ``2i + 2``; below a leaf all rows go left.
     """
     inner = 2**height - 1
+    split, threshold, left, right = (tree[c].to_numpy() for c in ("feature", "threshold", "left", "right"))
     feature, cut = np.zeros(inner, dtype="int64"), np.full(inner, np.inf)
     node = np.zeros(2 * inner + 1, dtype="int64")
-    split, length = tree["feature"] >= 0, tree["depth"] + expected_path(tree["size"])
-    for i in range(inner):
-        here = node[i]
-        if split[here]:
-            feature[i], cut[i] = tree.at[here, "feature"], tree.at[here, "threshold"]
-            node[2 * i + 1], node[2 * i + 2] = tree.at[here, "left"], tree.at[here, "right"]
-        else:
-            node[2 * i + 1] = node[2 * i + 2] = here
-    return feature, cut, length.to_numpy()[node[inner:]]
+    for level in range(height):
+        # All nodes of a level at once; a leaf stands for both of its children.
+        here = np.arange(2**level - 1, 2 ** (level + 1) - 1)
+        at = node[here]
+        inside = split[at] >= 0
+        feature[here], cut[here] = np.where(inside, split[at], 0), np.where(inside, threshold[at], np.inf)
+        node[2 * here + 1], node[2 * here + 2] = np.where(inside, left[at], at), np.where(inside, right[at], at)
+    length = tree["depth"].to_numpy() + expected_path(tree["size"])
+    return feature, cut, length[node[inner:]]
 
 
 def score_iforest(df: DataFrame, nodes: DataFrame, features=tuple(MODEL_FEATURES)) -> DataFrame:
@@ -132,7 +133,7 @@ def score_iforest(df: DataFrame, nodes: DataFrame, features=tuple(MODEL_FEATURES
     """
     table = nodes.orderBy("tree_id", "node_id").toArrow().to_pandas()
     height = int(table["depth"].max()) if len(table) else 0
-    trees = [_full_tree(t.set_index("node_id"), height) for _, t in table.groupby("tree_id")]
+    trees = [_full_tree(t, height) for _, t in table.groupby("tree_id")]
     psi = table.loc[table["depth"] == 0, "size"].max() if len(table) else 0
     scale = max(float(expected_path(psi)), 1e-12)
     forest = df.sparkSession.sparkContext.broadcast(trees)
