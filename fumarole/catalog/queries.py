@@ -153,8 +153,7 @@ def parse_timestamp(spark, sf):
 @query
 def partitioned_write_roundtrip(spark, sf):
     path = scratch(spark, "partitioned")
-    rows = deduped(spark, sf).withColumn("reading_date", windows.reading_date())
-    write_partitioned(rows, path)
+    write_partitioned(windows.with_reading_date(deduped(spark, sf)), path)
     back = spark.read.parquet(path)
     x = F.col("reading_value").cast("double")
     return back.groupBy(F.col("reading_date").cast("string").alias("reading_date")).agg(
@@ -433,9 +432,8 @@ def event_stream(spark, sf, grain) -> DataFrame:
     schema = table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     rows = event_readings(events, grain)
-    # Watermarks need instants; the wall-clock times are read as UTC.
-    return rows.withColumn("timestamp", F.to_utc_timestamp(
-        F.col("timestamp").cast("timestamp"), F.lit("UTC")))
+    # Watermarks need instants; ``wall_clock`` turns them back.
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
 def wall_clock(c: str = "timestamp") -> Column:

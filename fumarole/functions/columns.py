@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+ZONE = r":\d{2}[^:]*(?:[A-Za-z]|[+-]\d)"
 BLANKS = " \t\r\n\f\x0b"
 NUMBER = r"(?i)^[+-]?(?:inf(?:inity)?|(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)$"
 
@@ -27,13 +28,29 @@ def finite(c: Column) -> Column:
 
 
 def parse_instant(c: Column) -> Column:
-    """Any ISO form to an instant; null where the text is none."""
-    return F.try_to_timestamp(c)
+    """Any ISO form to an instant, in UTC where it names no zone; null where the text is none."""
+    plain = micros(c.try_cast("timestamp_ntz"), T.TimestampNTZType())
+    # Spark reads a zone only behind seconds.
+    zoned = F.regexp_replace(c, r"([T ]\d{2}:\d{2})(?=[Zz+-])", "$1:00")
+    return F.when(c.rlike(ZONE), F.try_to_timestamp(zoned)).otherwise(F.timestamp_micros(plain))
 
 
-def weekend(ts: Column) -> Column:
+def utc_date(ts: Column, dtype: T.DataType) -> Column:
+    """The UTC date, whatever the session time zone."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.to_date(ts)
+    return F.date_from_unix_date(F.floor(micros(ts, dtype) / 86_400_000_000).cast("int"))
+
+
+def utc_hour(ts: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.hour(ts)
+    return F.floor(F.pmod(micros(ts, dtype), F.lit(86_400_000_000)) / 3_600_000_000).cast("int")
+
+
+def weekend(day: Column) -> Column:
     """1 on Saturday and Sunday (``weekday`` counts from Monday = 0)."""
-    return (F.weekday(ts) >= 5).cast("int")
+    return (F.weekday(day) >= 5).cast("int")
 
 
 def as_flag(c: Column) -> Column:

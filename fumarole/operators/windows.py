@@ -7,7 +7,7 @@ place in the frame but are no samples.
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from fumarole.functions import as_flag, weekend
+from fumarole.functions import as_flag, utc_date, utc_hour, weekend
 from fumarole.plans.blocks import over_series
 from fumarole.settings import THRESHOLD, TIME, VALUE, WINDOW
 
@@ -115,14 +115,16 @@ def _peaks(rows: DataFrame, over: WindowSpec) -> DataFrame:
 
 
 def time_features(df: DataFrame) -> DataFrame:
-    ts = F.col(TIME)
-    return df.withColumns({
-        "hour_of_day": F.hour(ts), "is_weekend": weekend(ts), "reading_date": reading_date(),
-    })
+    """Hour, weekend and date in UTC."""
+    ts, dtype = F.col(TIME), df.schema[TIME].dataType
+    return with_reading_date(df.withColumns({
+        "hour_of_day": utc_hour(ts, dtype), "is_weekend": weekend(utc_date(ts, dtype)),
+    }))
 
 
-def reading_date() -> Column:
-    return F.date_format(TIME, "yyyy-MM-dd")
+def with_reading_date(df: DataFrame) -> DataFrame:
+    day = utc_date(F.col(TIME), df.schema[TIME].dataType)
+    return df.withColumn("reading_date", F.date_format(day, "yyyy-MM-dd"))
 
 
 def feature_columns(rows: DataFrame, w: WindowSpec, window: int = WINDOW) -> DataFrame:

@@ -9,7 +9,7 @@ from fumarole import sources
 from fumarole.operators import model, quality
 from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_normalize
 from fumarole.operators.cross import cross_features
-from fumarole.operators.windows import reading_date, sliding_window_aggregates, window_features
+from fumarole.operators.windows import sliding_window_aggregates, window_features, with_reading_date
 from fumarole.plans.sizing import stored_if_large
 from fumarole.settings import N_CHANNELS, SENSORS
 from fumarole.sinks import (
@@ -32,7 +32,7 @@ def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None =
     # Block layout, extremes and windows all pass over these rows.
     unique = stored_if_large(dedup_keep_last(raw, order=order), "unique")
     rows = clean_windows(unique, block_rows=block_rows)
-    return minmax_normalize(rows, extremes_of=unique).withColumn("reading_date", reading_date())
+    return with_reading_date(minmax_normalize(rows, extremes_of=unique))
 
 
 def features(clean: DataFrame, block_rows: int | None = None) -> DataFrame:

@@ -154,5 +154,16 @@ def test_instants_and_weekend(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
     got = [r[0] for r in rows.select(F.unix_millis(parse_instant(F.col("t")))).collect()]
     assert got == [1735984800000, 1736101800500, None, None]
+    # Without a zone the text is UTC, whatever the session says.
+    before = spark.conf.get("spark.sql.session.timeZone")
+    plain = ["2025-01-04T10:00:00", "2025-01-04 10:00:00.25", "2025-01-04", "2025-01-04T10:00:00-02:00",
+             "2025-01-04T10:00Z", "2025-03-09 02:30:00"]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = spark.createDataFrame(list(enumerate(plain)), "i int, t string").orderBy("i")
+        got = [r[0] for r in rows.select(F.unix_millis(parse_instant(F.col("t")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [1735984800000, 1735984800250, 1735948800000, 1735992000000, 1735984800000, 1741487400000]
     days = spark.sql("select timestamp_ntz'2025-01-04 00:00:00' a, timestamp_ntz'2025-01-06 00:00:00' b")
     assert days.select(weekend(F.col("a")), weekend(F.col("b"))).first()[:] == (1, 0)

@@ -86,11 +86,13 @@ def test_session_time_zone_does_not_matter(spark):
             spark.conf.set("spark.sql.session.timeZone", zone)
             rows = stages.features(stages.cleaned(raw), block_rows=20)
             got.append(sorted(map(tuple, rows.select(
-                "sensor_id", F.unix_seconds("timestamp"), "rolling_avg", "peak_frequency", "sensor_correlation"
+                "sensor_id", F.unix_seconds("timestamp"), "rolling_avg", "peak_frequency", "sensor_correlation",
+                "hour_of_day", "is_weekend", "reading_date",
             ).collect())))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got[0] == got[1]
+    assert {r[-1] for r in got[0]} == {"2025-01-01"} and {r[-3] for r in got[0]} == {0, 1}
 
 
 def test_dynamic_partition_overwrite(spark, tmp_path):
