@@ -53,12 +53,17 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, limit:
     return rising.select("key", "source_size", F.least("most", F.coalesce(F.col("weight") * level, F.col("most"))).alias("target"))
 
 
-def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, limit: float = 3, seed: str = "mix") -> DataFrame:
-    """One row per source of ``docs``: key, source_size, target, whole, threshold.
+def sized_rows(docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """doc_id, key, place and size of every row of ``docs`` (doc_id, source, text), stored."""
+    return stored(docs.select("doc_id", source_key(F.col("source")).alias("key"), place(F.col("doc_id"), seed).alias("place"),
+                              size_of(F.col("text")).alias("size")), "sized")
+
+
+def mix_plan(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, limit: float = 3) -> DataFrame:
+    """One row per source of ``sized_rows``: key, source_size, target, whole, threshold.
 
     A document is taken ``whole`` times, and once more if its place is below ``threshold``.
     """
-    sized = stored(docs.select(source_key(F.col("source")).alias("key"), place(F.col("doc_id"), seed).alias("place"), size_of(F.col("text")).alias("size")), "sized")
     goals = targets(sized.groupBy("key").agg(F.sum("size").alias("source_size")), weights, share, limit)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = stored(
@@ -84,26 +89,34 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     return plan.select("key", "source_size", "target", "whole", "threshold")
 
 
-def with_copies(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, limit: float = 3, seed: str = "mix",
-                column: str = "copies", details: bool = False) -> DataFrame:
-    """``docs`` (doc_id, source, text and whatever else) with how often the mix takes each row.
+def _copies(whole: str, threshold: str, at: Column) -> Column:
+    return F.col(whole) + (at < F.col(threshold)).cast("long")
+
 
-    Sizes are numbers of words. Null texts have size 0 and follow their place like all others; a
-    null source is a source of its own, the last one; rows that share a doc_id share a place and
-    are taken alike. Nothing is random: the same rows give the same mix in any order and layout.
-    With ``details`` come size, source_size and target, which ``docs`` must not have.
+def taken_rows(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, limit: float = 3, seed: str = "mix") -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken, a row for each row of ``docs``.
+
+    Sizes are numbers of words; ``docs`` has doc_id, source and text. Null texts have size 0 and
+    follow their place like all others; a null source is a source of its own, the last one; rows
+    that share a doc_id share a place and are taken alike. Nothing is random: the same rows give
+    the same mix in any order and layout.
     """
-    plan = mix_plan(docs, weights, share, limit, seed)
-    names = {c: fresh(docs, f"mix_{c}") for c in plan.columns}
-    keyed = docs.withColumn(names["key"], source_key(F.col("source")))
-    joined = lookup(keyed, plan.select(*(F.col(c).alias(n) for c, n in names.items())), [names["key"]])
-    more = (place(F.col("doc_id"), seed) < F.col(names["threshold"])).cast("long")
-    extra = [size_of(F.col("text")).alias("size"), F.col(names["source_size"]).alias("source_size"), F.col(names["target"]).alias("target")] if details else []
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col(names["whole"]) + more).alias(column), *extra)
+    sized = sized_rows(docs, seed)
+    rows = lookup(sized, mix_plan(sized, weights, share, limit), ["key"])
+    rows = rows.withColumn("copies", _copies("whole", "threshold", F.col("place")))
+    return rows.select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, limit: float = 3, seed: str = "mix") -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
+    """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken.
+
+    See ``taken_rows`` for what is taken.
+    """
+    plan = mix_plan(sized_rows(docs, seed), weights, share, limit).select("key", "whole", "threshold")
+    names = {c: fresh(docs, f"mix_{c}") for c in plan.columns}
+    keyed = docs.withColumn(names["key"], source_key(F.col("source")))
+    joined = lookup(keyed, plan.withColumnsRenamed(names), [names["key"]])
+    copies = _copies(names["whole"], names["threshold"], place(F.col("doc_id"), seed))
     column = fresh(docs, "copies")
-    taken = with_copies(docs, weights, share, limit, seed, column).where(F.col(column) > 0)
-    return taken.withColumn(column, F.explode(F.sequence(F.lit(1).cast("long"), F.col(column)))).drop(column)
+    return (joined.withColumn(column, copies).where(F.col(column) > 0)
+            .withColumn(column, F.explode(F.sequence(F.lit(1).cast("long"), F.col(column)))).select(*docs.columns))

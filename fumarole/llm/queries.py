@@ -64,8 +64,8 @@ def op5_byte_level_bpe(spark, sf):
 
 @query
 def op6_mixing_sources(spark, sf):
-    taken = mixing.with_copies(documents(spark, sf).select("doc_id", "source", "text"), details=True)
-    return taken.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
+    taken = mixing.taken_rows(documents(spark, sf))
+    return taken.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 @query
