@@ -87,9 +87,10 @@ def op8_line_dedup(spark, sf):
 
 @query
 def op9_quality_rules(spark, sf):
-    measured = rules.text_measures(documents(spark, sf).select("doc_id", "text"))
+    docs = documents(spark, sf).select("doc_id", "text")
+    sample = rules.text_measures(rules.some_rows(docs))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = rules.cascade(measured.withColumn("base_failed", failed), rules.standard_rules())
+    judged = rules.cascade(rules.text_measures(docs).withColumn("base_failed", failed), rules.standard_rules(), sample)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

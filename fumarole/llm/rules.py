@@ -77,16 +77,21 @@ def rule_order(sample: DataFrame, rules: Mapping[str, Column], runs: int = 2) ->
     return sorted(rules, key=lambda name: (-measured[name][1] / max(measured[name][0] - idle, 1e-4), name))
 
 
-def cascade(docs: DataFrame, rules: Mapping[str, Column], sample_rows: int = SAMPLE_ROWS, verdict: str = "kept") -> DataFrame:
+def some_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``rows`` rows of ``docs`` and twice as many at most, drawn as the table is read."""
+    share = min(1.0, rows / max(1, docs.count()))
+    return docs.sample(share, seed=0).limit(2 * rows)
+
+
+def cascade(docs: DataFrame, rules: Mapping[str, Column], sample: DataFrame, verdict: str = "kept") -> DataFrame:
     """``docs`` with ``verdict``: true where none of ``rules`` holds; a rule that is null holds not.
 
-    ``rules`` maps names to conditions that reject a row. Cost and selectivity come from at most
-    ``sample_rows`` rows, stored once; they decide the order of the rules and nothing else, so an
-    empty table and repeated rows are fine.
+    ``rules`` maps names to conditions that reject a row. Cost and selectivity are those on
+    ``sample``, rows with the columns that the rules read; they decide the order of the rules and
+    nothing else, so an empty table and repeated rows are fine. The sample is stored once.
     """
-    sample = stored(docs.limit(sample_rows), "rule-sample")
     kept = F.lit(True)
-    for name in reversed(rule_order(sample, rules)):
+    for name in reversed(rule_order(stored(sample, "rule-sample"), rules)):
         kept = F.when(rules[name], F.lit(False)).otherwise(kept)
     return docs.withColumn(verdict, kept)
 
