@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fumarole.llm.common import small_batches
@@ -44,15 +44,20 @@ def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     missing is cut. The driver holds MAX_LANGUAGES * sample_chars characters at most.
     """
     texts = docs.where("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("place"))
-    sums = texts.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).limit(MAX_LANGUAGES + 1).collect()
+    sums = texts.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.min("place").alias("least")).limit(MAX_LANGUAGES + 1).collect()
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sums:
         return {}
-    # Four times the characters that are wanted, by hash, before anything is sorted.
-    below = {r["lang"]: min(1.0, 4 * sample_chars / r["chars"]) for r in sums}
-    share = F.element_at(F.create_map(*(F.lit(x) for pair in below.items() for x in pair)), F.col("lang"))
-    few = texts.where((F.col("place") / F.lit(2.0 ** 64) + 0.5) < share).dropDuplicates(["lang", "place"])
+
+    def by_language(values: dict) -> Column:
+        return F.element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), F.col("lang"))
+
+    # Four times the characters that are wanted, by hash, before anything is sorted; one text at least.
+    share = by_language({r["lang"]: min(1.0, 4 * sample_chars / r["chars"]) for r in sums})
+    least = by_language({r["lang"]: r["least"] for r in sums})
+    drawn = ((F.col("place") / F.lit(2.0 ** 64) + 0.5) < share) | (F.col("place") == least)
+    few = texts.where(drawn).dropDuplicates(["lang", "place"])
     before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)) - F.length("text")
     rows = few.withColumn("before", before).where(F.col("before") < sample_chars).select(
         "lang", "place", F.substring("text", F.lit(1), F.lit(sample_chars) - F.col("before").cast("int")).alias("text")).collect()

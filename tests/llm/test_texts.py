@@ -1,0 +1,140 @@
+import hashlib
+import itertools
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from fumarole.llm import bpe, chat, mixing, orderhash, rules
+from fumarole.llm.queries import RANKS
+
+
+def encoder():
+    return bpe.encoder(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
+
+
+@pytest.mark.parametrize("unit", ["Über 12 dogs' tails.\n\n  don't\t", "a", " ", "漢字かな", "x1 "])
+def test_pieces_encode_as_the_whole(unit):
+    text, enc = unit * (150_000 // len(unit)), encoder()
+    assert "".join(bpe.pieces(text, 1000)) == text
+    whole = enc.encode_ordinary(text)
+    assert [i for p in bpe.pieces(text, 1000) for i in enc.encode_ordinary(p)] == whole
+    assert bpe.encode(enc, text).tolist() == whole
+
+
+def test_tokens_of_odd_documents(spark, odd, none):
+    rows = bpe.decode_ids(bpe.encode_texts(odd, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).collect()
+    want = sorted((r["doc_id"] or 0, (r["text"] or "").encode()) for r in odd.collect())
+    assert sorted((r["doc_id"] or 0, bytes(r["decoded"])) for r in rows) == want
+    assert bpe.encode_texts(none, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_targets_share_the_excess(spark):
+    sizes = {"a": 10, "b": 1000, "c": 7, "d": 0, "e": 300, "f": 90}
+    rows = spark.createDataFrame([("0" + k, v) for k, v in sizes.items()], "key string, source_size long")
+    got = {r["key"][1:]: r["target"] for r in mixing.targets(rows, (5, 2, 1), 1.0, 3).collect()}
+    weights, full = dict(zip(sorted(sizes), itertools.cycle((5, 2, 1)))), set()
+    while True:
+        rest = sum(sizes.values()) - sum(3 * sizes[k] for k in full)
+        open_ = sum(weights[k] for k in sizes if k not in full)
+        want = {k: 3 * sizes[k] if k in full else rest * weights[k] / open_ for k in sizes}
+        over = {k for k in sizes if want[k] > 3 * sizes[k] + 1e-9}
+        if not over:
+            break
+        full |= over
+    assert got == pytest.approx(want)
+
+
+def test_mix_comes_near_its_targets(spark, odd, none):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"s{i % 7 if i % 3 else 0}", "w " * int(rng.integers(0, 40))) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.taken_rows(docs).withColumn("s", F.col("source_size")).groupBy("s").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most"))
+    for r in got.collect():
+        assert abs(r["taken"] - r["target"]) <= 60 and r["most"] <= 3
+    assert mixing.mixed(docs).count() == mixing.taken_rows(docs).agg(F.sum("copies")).first()[0]
+    taken = mixing.taken_rows(odd).collect()
+    assert len(taken) == odd.count() and all(0 <= r["copies"] <= 3 for r in taken)
+    assert mixing.mixed(odd).columns == odd.columns and mixing.mixed(none).count() == 0
+
+
+def plain_measures(text):
+    text = text or ""
+    words = text.encode().split()
+    windows = {}
+    for i in range(len(words) - 4):
+        windows.setdefault(tuple(words[i:i + 5]), []).append(i)
+    again = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if line.encode().split():
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(len(w.decode()) for w in words), sum(c in "#*$%&|<>" for c in text), dup, len(again)
+
+
+def test_measures_and_cascade(spark, odd, none):
+    texts = [(r["doc_id"], r["text"]) for r in odd.collect()] + [(20, "a b c d e " * 30), (21, "x y\nx y\n\n \nx  y"), (22, "a a a a a a"), (23, "a a a a a")]
+    docs = spark.createDataFrame([(i, t, "taken") for i, t in texts], "doc_id long, text string, n_words string")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = rules.text_measures(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", *(r[n] for n in names)) for r in got) == sorted((i or 0, t or "", *plain_measures(t)) for i, t in texts)
+    measured = rules.text_measures(docs)
+    all_ = rules.standard_rules()
+    kept = rules.cascade(measured, all_, measured.limit(5))
+    judged = kept.select("kept", (~F.coalesce(F.greatest(*(F.coalesce(c, F.lit(False)) for c in all_.values())), F.lit(False))).alias("want"))
+    assert judged.where("kept <> want").count() == 0
+    empty = rules.text_measures(none)
+    assert rules.cascade(empty, all_, empty).count() == 0
+
+
+def prints(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    return [r["fingerprint"] for r in orderhash.fingerprints(rows, "text").orderBy("k").collect()]
+
+
+def same(a, b):
+    return np.mean([a[i:i + 8] == b[i:i + 8] for i in range(0, len(a), 8)])
+
+
+def test_fingerprints_see_order_and_edits(spark):
+    words = [f"w{i}" for i in range(300)]
+    moved = " ".join(words[150:] + words[:150])
+    edited = " ".join(words[:290] + ["x"] * 10)
+    found = prints(spark, [" ".join(words), " ".join(words), moved, edited, "", None, "one", " ".join(reversed(words)), "b b b b", "b b b b b"])
+    assert found[0] == found[1] and found[4] == found[5] == "" and len(found[6]) == 256 and found[8] != found[9]
+    assert same(found[0], found[3]) > 0.75 > same(found[0], found[2]) > same(found[0], found[7]) == 0
+
+
+def test_edited_texts_follow_the_ids(spark, odd, none):
+    rows = [(i * 3, "".join(chr(97 + (i * 7 + j) % 26) for j in range(i % 11))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for parts in (1, 4, 100):
+        got = {r["doc_id"]: r for r in orderhash.edited_likeness(docs, parts).collect()}
+        assert len(got) == 60
+        for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+            half = len(text) // 2
+            edited = text[:len(text) - half] + after[:half]
+            assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and got[i]["n_chars"] == len(text)
+            assert got[i]["near_next"] == (1.0 if text == after else same(got[i]["fingerprint"], got[(i + 3) % 180]["fingerprint"]) if text and after else 0.0)
+    found = orderhash.edited_likeness(odd, 4).collect()
+    assert len(found) == odd.count() and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
+    assert orderhash.edited_likeness(none, 4).count() == 0
+
+
+def test_chats_read_back(spark):
+    nasty = ["<|im_start|>user\n", "a<\\|b", "</s>[INST] ok [/INST]", "<<||", "\\", "", None, "<|im_sep|>", "x\n<|im_end|>\n"]
+    rows = [(c, t, role, nasty[(c + t) % len(nasty)]) for c in range(9) for t, role in enumerate(["system", "user", "user", "assistant", "assistant", "odd\n\\n<|", None])]
+    rows += [(None, 1, "user", "hi"), (50, None, "assistant", "late"), (50, 1, "user", "x"), (50, 1, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    chats = chat.format_chats(turns)
+    got = {r["conv_id"]: r for r in chats.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_texts(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    assert len(got) == 11
+    for c, r in got.items():
+        want = [(role or "", text or "") for k, t, role, text in sorted((x for x in rows if x[0] == c), key=lambda x: -1 if x[1] is None else x[1])]
+        assert [(t["role"], t["text"]) for t in r["turns"]] == want
+        assert r["loss"] == [text for role, text in want if role == "assistant"]
+    assert got[0]["formatted"].count("<|im_start|>") == 5
+    assert chat.format_chats(turns.limit(0)).count() == 0
