@@ -105,7 +105,8 @@ def test_fingerprints_see_order_and_edits(spark):
     edited = " ".join(words[:290] + ["x"] * 10)
     found = prints(spark, [" ".join(words), " ".join(words), moved, edited, "", None, "one", " ".join(reversed(words)), "b b b b", "b b b b b"])
     assert found[0] == found[1] and found[4] == found[5] == "" and len(found[6]) == 256 and found[8] != found[9]
-    assert same(found[0], found[3]) > 0.75 > same(found[0], found[2]) > same(found[0], found[7]) == 0
+    # 288 of 308 runs are shared, so an entry agrees with (288 / 308)^2 = 0.874; three deviations of 32 entries are 0.176.
+    assert same(found[0], found[3]) > 0.874 - 0.176 > same(found[0], found[2]) > same(found[0], found[7]) == 0
 
 
 def test_edited_texts_follow_the_ids(spark, odd, none):
