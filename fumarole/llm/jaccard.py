@@ -171,13 +171,20 @@ def _name(d1: str = "d1", d2: str = "d2") -> Column:
     return F.concat(F.hex(d1).cast("string"), F.lit("-"), F.hex(d2).cast("string"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): label is the least node it reaches.
 
+    ``known`` labels of earlier links are kept up: only links between their classes are followed.
     Each round takes the least label among the neighbours, then the label's own label; rounds
     grow with the logarithm of the longest chain.
     """
+    if known is not None:
+        a, b = (known.select(F.col("node").alias(c), F.col("label").alias(f"{c}_class")) for c in "ab")
+        links = (links.join(a, "a", "left").join(b, "b", "left")
+                 .select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b")).where("a <> b"))
     edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    if known is not None and edges.isEmpty():
+        return known
     labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels")
     while True:
         near = (edges.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near")))
@@ -188,7 +195,13 @@ def components(links: DataFrame) -> DataFrame:
                                                   (F.least("to", "further") != F.col("before")).alias("moved")), "labels")
         labels = new.select("node", "label")
         if new.where("moved").isEmpty():
-            return labels
+            break
+    if known is None:
+        return labels
+    # The nodes here are classes of ``known`` or nodes it has not seen.
+    onward = labels.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    before = known.join(onward, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stored(before.unionByName(labels.join(known.select("node"), "node", "left_anti")), "labels")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -221,8 +234,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
         .select(_name().alias("node"), "n", "sketch", "hashes"), "candidates")
     buckets = stored(buckets.select("key", _name().alias("node"), "upper"), "members")
 
-    links = _links(buckets, sets, num, den)
-    labels = components(links)
+    labels = _classes(buckets, sets, num, den)
     named = classes.select(_name().alias("node"), *NODE, "first")
     whole = (named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     least = whole.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -251,8 +263,8 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (
     return stay.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
-def _links(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between sets that connect whatever is linked: stars first, then the rest."""
+def _classes(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, label) of all linked sets: stars of links first, then the rest between their classes."""
     sketches = sets.select("node", "n", "sketch")
     distance = F.aggregate(F.zip_with("sketch", "sketch_2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = distance * (den + num) <= (F.col("n") + F.col("n_2")) * (den - num)
@@ -270,25 +282,23 @@ def _links(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         return stored(whole.select("a", "b", "hashes", "hashes_2")
                       .mapInArrow(_linked_rows(num, den), "a string, b string").distinct(), f"links-{round_}")
 
-    found, open_ = None, buckets.withColumn("label", F.col("node"))
+    labels, open_ = None, buckets.withColumn("label", F.col("node"))
     for star in (0, 1):
         # A bucket's centre differs from round to round; sets of one class need no more links.
         centre = F.min(F.struct(F.xxhash64("label", F.lit(star)), "node", "label", "upper")).over(Window.partitionBy("key"))
         pairs = (open_.withColumn("centre", centre)
                  .where("label <> centre.label and (upper or centre.upper)")
                  .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")))
-        new = verified(pairs, f"star{star}")
-        found = new if found is None else found.union(new)
-        labels = components(found)
+        labels = components(verified(pairs, f"star{star}"), labels)
         same = Window.partitionBy("key")
         open_ = stored(
             buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             .withColumns({"lo": F.min("label").over(same), "hi": F.max("label").over(same)})
             .where("lo <> hi").drop("lo", "hi"), "open")
         if open_.isEmpty():
-            return found
+            return labels
     left = open_.join(sketches, "node")
     rest = (left.join(second(left), F.col("key") == F.col("key_2"))
             .where((F.col("node") < F.col("node_2")) & (F.col("label") != F.col("label_2")) & (F.col("upper") | F.col("upper_2")) & near)
             .select(F.col("node").alias("a"), F.col("node_2").alias("b")))
-    return found.union(verified(rest, "rest"))
+    return components(verified(rest, "rest"), labels)
