@@ -68,6 +68,20 @@ def micros(ts: Column, dtype: T.DataType) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def utc_text(ts: Column) -> Column:
+    """ISO text of an instant in UTC, whatever the session zone."""
+    micro = F.unix_micros(ts)
+    day = F.date_from_unix_date(F.floor(micro / 86_400_000_000).cast("int"))
+    second = F.pmod(micro, F.lit(86_400_000_000))
+
+    def two(part: Column) -> Column:
+        return F.lpad(part.cast("long").cast("string"), 2, "0")
+
+    clock = F.concat(two(F.floor(second / 3_600_000_000)), F.lit(":"), two(F.floor(second / 60_000_000) % 60), F.lit(":"),
+                     two(F.floor(second / 1_000_000) % 60), F.lit("."), F.lpad((second % 1_000_000).cast("string"), 6, "0"))
+    return F.concat(day.cast("string"), F.lit("T"), clock, F.lit("Z"))
+
+
 def _clipped(r: Column) -> Column:
     """Within [-1, 1]; null stays null, which ``least`` and ``greatest`` would skip."""
     return F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)

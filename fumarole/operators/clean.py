@@ -119,17 +119,21 @@ def missing_runs(df: DataFrame, value: str = VALUE, block_rows: int | None = Non
     marked = over_series(df, mark, before=1, block_rows=block_rows)
     if "_part" not in marked.columns:
         return marked
-    part = [SENSOR, "_part"]
+    # Two columns name a series, so that rows without a sensor meet in joins as well.
+    series = ["_name", "_none"]
+    names = {"_name": F.coalesce(F.col(SENSOR).cast("string"), F.lit("")), "_none": F.col(SENSOR).isNull()}
+    part = [*series, "_part"]
+    marked = marked.withColumns(names)
     marked = marked.withColumn("_runs", F.sum("_start").over(Window.partitionBy(*part).orderBy(TIME)))
     totals = marked.groupBy(*part).agg(F.sum("_start").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(SENSOR).orderBy("_part"))
+    upto = F.sum("_n").over(Window.partitionBy(*series).orderBy("_part"))
     offsets = totals.select(*part, (upto - F.col("_n")).alias("_before"))
     numbered = (
         lookup(marked, offsets, part)
         .withColumn("run_id", (F.col("_runs") + F.col("_before")).cast("long"))
         .drop("_start", "_runs", "_before")
     )
-    sizes = numbered.groupBy(SENSOR, "run_id", "_part").agg(F.sum("is_missing").alias("_n"))
-    whole = F.sum("_n").over(Window.partitionBy(SENSOR, "run_id"))
+    sizes = numbered.groupBy(*series, "run_id", "_part").agg(F.sum("is_missing").alias("_n"))
+    whole = F.sum("_n").over(Window.partitionBy(*series, "run_id"))
     sizes = sizes.withColumn("gap_size", whole.cast("long")).drop("_n")
-    return numbered.join(sizes, [SENSOR, "run_id", "_part"]).drop("_part")
+    return numbered.join(sizes, [*series, "run_id", "_part"]).drop(*series, "_part").select(*df.columns, "is_missing", "run_id", "gap_size")

@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fumarole.functions import null_if_nan
 from fumarole.plans.sizing import bounded_rows, is_small
 
 ACCURACY = 10_000
@@ -17,14 +18,14 @@ STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 def exact_quantiles(
     df: DataFrame, columns: list[str], probs: list[float], small: bool | None = None
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of every column, nulls skipped.
+    """Linear-interpolated quantiles of every column, null and NaN skipped.
 
     The exact aggregate keeps every distinct value in one task, so it is used
     for inputs checked to be small. Otherwise order statistics are bracketed by
     a sketch and counted until the bracket is small.
     """
     small = is_small(df) if small is None else small
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.select(*[null_if_nan(F.col(c).cast("double")).alias(c) for c in columns])
     if small:
         at = F.array(*[F.lit(p) for p in probs])
         row = rows.agg(*[F.percentile(c, at).alias(c) for c in columns]).first()
@@ -38,9 +39,12 @@ def _column_quantiles(values: DataFrame, probs: list[float]) -> list[float | Non
         return [None] * len(probs)
     at = [p * (n - 1) for p in probs]
     found = order_statistics(values, {r for h in at for r in (math.floor(h), math.ceil(h))}, n)
-    return [
-        found[math.floor(h)] + (found[math.ceil(h)] - found[math.floor(h)]) * (h - math.floor(h)) for h in at
-    ]
+    return [_between(found[math.floor(h)], found[math.ceil(h)], h - math.floor(h)) for h in at]
+
+
+def _between(low: float, high: float, part: float) -> float:
+    """Equal ends need no arithmetic, which infinities would not survive."""
+    return low if low == high else low * (1 - part) + high * part
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fumarole import sources
+from fumarole.functions import utc_text
 from fumarole.operators import model, quality
 from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_normalize
 from fumarole.operators.cross import cross_features
@@ -44,6 +45,7 @@ def features(clean: DataFrame, block_rows: int | None = None) -> DataFrame:
 class Layers:
     """Where ``run`` wrote what."""
 
+    raw: str
     cleaned: str
     features: str
     final: str
@@ -56,10 +58,16 @@ class Layers:
 
 def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: int = N_CHANNELS,
         tables: bool = False, strict: bool = True) -> Layers:
-    """Run every stage. A stage reads what the stage before stored, so none is computed twice."""
+    """Run every stage. A stage reads what the stage before stored, so none is computed twice.
+
+    Data that fails the quality rules is not published: with ``strict`` the job ends after the
+    report, and earlier partitions, alerts and tables stay as they are.
+    """
     spark = raw.sparkSession
     at = Layers(**{name: f"{out}/{name}" for name in Layers.__dataclass_fields__})
 
+    write_parquet(raw, at.raw)
+    raw = spark.read.parquet(at.raw)
     write_parquet(as_stored(cleaned(raw, order)), at.cleaned)
     clean = spark.read.parquet(at.cleaned)
     write_parquet(sliding_window_aggregates(clean), at.windows)
@@ -75,12 +83,13 @@ def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: i
 
     result = quality.report(final, expected_sensors=expected_sensors)
     write_json(result, at.report)
+    if strict:
+        quality.enforce(spark.read.json(at.report))
     write_partitioned(final, at.partitioned)
     found = model.alerts(final)
-    write_csv(found.withColumn("timestamp", F.col("timestamp").cast("string")), at.alerts)
+    write_csv(found.withColumn("timestamp", utc_text(F.col("timestamp"))), at.alerts)
     if tables:
+        save_table(raw, "sensor_readings_raw")
         save_table(final, "sensor_readings_curated")
         save_table(found, "anomaly_alerts")
-    if strict:
-        quality.enforce(spark.read.json(at.report))
     return at

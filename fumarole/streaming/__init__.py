@@ -1,12 +1,12 @@
 """Structured Streaming: message ingest, dedup, rolling features, alerts."""
 
-from fumarole.streaming.batches import rolling_batches
+from fumarole.streaming.batches import late_readings, rolling_batches
 from fumarole.streaming.ingest import (
     ARRIVAL, current_readings, ingest_messages, message_stream, stream_dedup,
 )
 from fumarole.streaming.rolling import stream_alerts, stream_rolling
 
 __all__ = [
-    "ARRIVAL", "current_readings", "ingest_messages", "message_stream",
+    "ARRIVAL", "current_readings", "ingest_messages", "late_readings", "message_stream",
     "rolling_batches", "stream_alerts", "stream_dedup", "stream_rolling",
 ]

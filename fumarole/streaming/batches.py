@@ -6,14 +6,14 @@ Series are cut into blocks as in batch, so a sensor that sends most of the rows,
 or a long backlog read at once, does not end in one task.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fumarole.operators.clean import fill_short_gaps
 from fumarole.operators.windows import feature_columns, rule_columns
 from fumarole.plans.blocks import over_series
-from fumarole.plans.sizing import stored
+from fumarole.plans.sizing import lookup
 from fumarole.settings import MAX_GAP, SENSOR, THRESHOLD, TIME, VALUE, WINDOW
 
 CARRIED = [SENSOR, TIME, VALUE, "_done", "_mark"]
@@ -22,34 +22,46 @@ CARRIED = [SENSOR, TIME, VALUE, "_done", "_mark"]
 def rolling_batches(
     readings: DataFrame, target: str, checkpoint: str, delay_seconds: float = 0, window: int = WINDOW,
     max_gap: int = MAX_GAP, threshold: float = THRESHOLD, block_rows: int | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Append the features of every settled reading to ``target``.
 
-    A reading is settled when readings ``delay_seconds`` younger have come and, if
-    it is missing, when its run is known to be short or long. Later arrivals for
-    settled times are dropped. Readings must be unique per sensor and instant. A
-    micro-batch replaces its own output and state when it is run again.
+    A reading is settled when readings of its sensor that are ``delay_seconds`` younger
+    have come and, if it is missing, when its run is known to be short or long. What
+    arrives for settled times, or without sensor or instant, goes to ``late_readings``.
+    Readings must be unique per sensor and instant. A micro-batch replaces its own
+    output, state and work folders when it is run again. ``trigger`` holds the arguments
+    of the stream's trigger, by default all that is there.
     """
     past = 2 * (window - 1)
     delay = int(delay_seconds * 1_000_000)
     at = F.unix_micros(F.col(TIME))
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to a folder that every micro-batch replaces, and read back."""
+        path = f"{checkpoint}/work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(SENSOR, TIME, F.col(VALUE).cast("double").alias(VALUE), F.lit(False).alias("_done"))
-        before = None
         if number:
             carried = spark.read.parquet(f"{checkpoint}/carried/{number - 1}")
-            before = carried.agg(F.max("_mark")).first()[0]
-        if before is not None:
-            rows = rows.where(at > before).unionByName(carried.drop("_mark"))
-        rows = stored(rows, "batch")
-        newest = rows.agg(F.max(at)).first()[0]
-        if newest is None:
-            rows.withColumn("_mark", F.lit(None).cast("long")).write.mode("overwrite").parquet(
-                f"{checkpoint}/carried/{number}")
-            return
-        mark = newest - delay if before is None else max(before, newest - delay)
+            # Every sensor seen so far has carried rows, and with them its own mark.
+            marks = carried.groupBy(SENSOR).agg(F.max("_mark").alias("_mark"))
+            rows = lookup(rows, marks, [SENSOR])
+        else:
+            rows = rows.withColumn("_mark", F.lit(None).cast("long"))
+        rows = kept(rows, "arrived")
+        late = F.col(SENSOR).isNull() | F.col(TIME).isNull() | F.coalesce(at <= F.col("_mark"), F.lit(False))
+        rows.where(late).select(SENSOR, TIME, VALUE).write.mode("overwrite").parquet(f"{checkpoint}/late/batch_no={number}")
+        rows = rows.where(~late).select(*CARRIED)
+        if number:
+            rows = rows.unionByName(carried)
+        rows = kept(rows, "batch")
+        upto = rows.groupBy(SENSOR).agg(F.greatest(F.max(at) - delay, F.max("_mark")).alias("_upto"))
+        marked = lookup(rows.drop("_mark"), upto, [SENSOR])
 
         def build(part, w):
             known = F.col(VALUE)
@@ -66,21 +78,26 @@ def rolling_batches(
                 part = part.withColumns({"is_imputed": F.lit(0), "_open": F.lit(False), "_raw": known})
             return feature_columns(part, w, window)
 
-        settled = rows.where(at <= mark)
+        settled = marked.where(at <= F.col("_upto")).drop("_upto")
         done = over_series(settled, build, before=past + max_gap, after=max_gap, block_rows=block_rows)
-        done = stored(rule_columns(done, threshold), "settled")
+        done = kept(rule_columns(done, threshold), "settled")
         out = done.where(~F.col("_done") & ~F.col("_open")).drop("_done", "_open", "_raw")
         out.write.mode("overwrite").parquet(f"{target}/batch_no={number}")
 
         last = F.row_number().over(Window.partitionBy(SENSOR).orderBy(F.desc(TIME)))
         tail = done.where(~F.col("_open")).select(SENSOR, TIME, VALUE).withColumn("_n", last).where(F.col("_n") <= past)
-        waiting = rows.where(at > mark).unionByName(
+        waiting = marked.where(at > F.col("_upto")).drop("_upto").unionByName(
             done.where("_open").select(SENSOR, TIME, F.col("_raw").alias(VALUE), "_done"))
         carry = tail.drop("_n").withColumn("_done", F.lit(True)).unionByName(waiting)
-        carry.withColumn("_mark", F.lit(mark).cast("long")).select(*CARRIED).write.mode("overwrite").parquet(
-            f"{checkpoint}/carried/{number}")
+        carry = lookup(carry, upto, [SENSOR]).withColumnRenamed("_upto", "_mark")
+        carry.select(*CARRIED).write.mode("overwrite").parquet(f"{checkpoint}/carried/{number}")
 
     return (
         readings.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/stream")
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def late_readings(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What ``rolling_batches`` could not place any more, by ``batch_no``."""
+    return spark.read.parquet(f"{checkpoint}/late")

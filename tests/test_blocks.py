@@ -101,3 +101,13 @@ def test_missing_rows_everywhere(spark):
     plain, cut = (rows_of(clean.missing_runs(df, block_rows=b)) for b in (None, 40))
     pd.testing.assert_frame_equal(plain, cut)
     assert plain["gap_size"].unique().tolist() == [300]
+
+
+def test_runs_without_a_sensor_are_kept_in_blocks(spark):
+    rows = [("a", i, None if i % 5 == 0 else 1.0) for i in range(60)] + [(None, i, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "sensor_id string, m long, reading_value double")
+    df = df.select("sensor_id", F.timestamp_seconds(F.col("m") * 60).alias("timestamp"), "reading_value")
+    plain, cut = (clean.missing_runs(df, block_rows=b) for b in (None, 10))
+    assert plain.count() == cut.count() == 63
+    names = ["sensor_id", "timestamp", "is_missing", "run_id", "gap_size"]
+    assert plain.select(names).exceptAll(cut.select(names)).isEmpty()

@@ -36,6 +36,14 @@ def test_exact_quantiles(table, small):
         np.testing.assert_allclose(got[c], np.quantile(x, PROBS), rtol=1e-12)
 
 
+def test_odd_numbers_count_alike_at_any_size(spark):
+    numbers = [float(i) for i in range(10)] + [float("nan")] * 3 + [float("inf"), float("-inf"), -0.0, None]
+    rows = spark.createDataFrame([(v, float("nan"), float("inf")) for v in numbers], "x double, n double, i double")
+    got = [quantiles.exact_quantiles(rows, ["x", "n", "i"], PROBS, small=s) for s in (True, False)]
+    assert got[0] == got[1]
+    assert got[0]["x"][3] == 4.0 and got[0]["n"] == [None] * len(PROBS) and got[0]["i"] == [float("inf")] * len(PROBS)
+
+
 def test_order_statistics_narrow_to_the_value(table):
     """A coarse sketch and a tiny bracket force several rounds."""
     data = samples()

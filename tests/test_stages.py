@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fumarole import schema, sinks, sources
+from fumarole.functions import utc_text
 from fumarole.operators import quality
 from fumarole.plans import stages
 from fumarole.settings import SENSORS
@@ -15,10 +16,14 @@ from fumarole.settings import SENSORS
 def wide(spark, rows=400, seed=42, source="batch"):
     rng = np.random.default_rng(seed)
     i = np.arange(rows)
-    data = {s: 100 + 15 * j + 10 * np.sin(i / 50) + rng.normal(0, 3, rows) for j, s in enumerate(SENSORS)}
-    for s in SENSORS:
-        data[s][250:251] += 60
-        data[s][rng.random(rows) < 0.01] = np.nan
+    # A slow triangle wave of noise at every sensor's own level, one spike, one reading in 80 missing.
+    wave = np.abs(i % 240 - 120) / 20
+    data = {}
+    for j, s in enumerate(SENSORS):
+        level = wave + 50 * (j + 2) + 2.5 * rng.standard_normal(rows)
+        level[250:251] += 55
+        level[(i * 7 + j * 13) % 80 == 5] = np.nan
+        data[s] = level
     at = pd.Timestamp("2025-01-01", tz="UTC") + pd.to_timedelta(i, unit="min")
     return spark.createDataFrame(pd.DataFrame({"timestamp": at, "source": source, **data}))
 
@@ -66,12 +71,13 @@ def test_other_outputs(spark, layers):
     assert {"spark_rolling_avg", "spark_moving_std", "spark_max", "spark_min", "spark_rate_of_change"} <= set(windows.columns)
 
 
-def test_bad_data_fails_after_everything_is_written(spark, tmp_path):
+def test_bad_data_is_not_published(spark, tmp_path):
     raw = sources.wide_to_long(wide(spark, 60), "b").where("sensor_id <> 'S16'")
     raw = raw.withColumns({"priority": F.lit(0), "seq": F.lit(0)})
     with pytest.raises(ValueError, match="consistency"):
         stages.run(raw, str(tmp_path / "out"))
-    assert os.path.exists(tmp_path / "out" / "partitioned")
+    assert not os.path.exists(tmp_path / "out" / "partitioned") and not os.path.exists(tmp_path / "out" / "alerts")
+    assert spark.read.parquet(str(tmp_path / "out" / "raw")).count() == raw.count()
     report = sources.read_report(spark, str(tmp_path / "out" / "report"))
     with pytest.raises(ValueError):
         quality.enforce(report)
@@ -95,6 +101,18 @@ def test_session_time_zone_does_not_matter(spark):
     assert {r[-1] for r in got[0]} == {"2025-01-01"} and {r[-3] for r in got[0]} == {0, 1}
 
 
+def test_instants_as_text_are_utc(spark):
+    micros = [0, -1, 1_735_689_600_000_000, 1_711_846_799_999_999, 951_782_400_500_000]
+    rows = spark.createDataFrame([(m,) for m in micros], "m long").withColumn("t", F.timestamp_micros("m"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r["m"]: r["text"] for r in rows.select("m", utc_text(F.col("t")).alias("text")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {m: pd.Timestamp(m, unit="us").strftime("%Y-%m-%dT%H:%M:%S.%fZ") for m in micros}
+
+
 def test_dynamic_partition_overwrite(spark, tmp_path):
     path = str(tmp_path / "p")
     first = spark.createDataFrame([("2025-01-01", 1), ("2025-01-02", 2)], "reading_date string, v int")

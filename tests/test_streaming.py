@@ -91,6 +91,18 @@ def test_micro_batches_equal_batch(spark, tmp_path, max_gap, block_rows):
         np.testing.assert_allclose(both[c].astype(float), both[f"{c}_batch"].astype(float), atol=1e-9, err_msg=c)
 
 
+def test_sensors_behind_the_newest_lose_nothing_and_late_rows_are_kept(spark, tmp_path):
+    pdf = series(n=100, sensors=4)
+    files = [part for _, part in pdf.groupby("sensor_id")]
+    late = files[0].iloc[[5]].assign(timestamp=files[0].iloc[5]["timestamp"] + pd.Timedelta(seconds=30))
+    nameless = files[1].iloc[[7]].assign(sensor_id=None)
+    schema = land(spark, tmp_path / "in", [*files, pd.concat([late, nameless])])
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    streaming.rolling_batches(source, str(tmp_path / "out"), str(tmp_path / "ck"), max_gap=0).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(pdf)
+    assert streaming.late_readings(spark, str(tmp_path / "ck")).count() == 2
+
+
 def test_micro_batch_runs_again_without_doubling(spark, tmp_path):
     pdf = series(n=90, sensors=2)
     schema = land(spark, tmp_path / "in", [pdf])
