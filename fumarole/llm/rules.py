@@ -26,7 +26,8 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null texts count as empty: all measures are 0, n_lines too. Columns of ``docs`` with such a
     name are replaced. Windows are compared by their 64-bit hashes within a text; the work is
-    n log n in the words of a text.
+    n log n in the words of a text. The measures leave a generator, so a filter on them is asked
+    after they were taken once, and never moves their expressions into each other's lambdas.
     """
     names = [fresh(docs, f"rule_{c}") for c in ("words", "hashes", "sorted", "starts", "bits", "lines")]
     words, hashes, packed, starts, bits, lines = names
@@ -50,16 +51,18 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         starts, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
         lambda a, p: F.struct((a.n + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")), lambda a: a.n)
     with_word = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    measures = {
+        "n_words": F.size(words), "word_chars": F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.length(w)),
+        "n_lines": F.size(lines), "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_symbols": F.length(whole) - F.length(F.translate(whole, SYMBOLS, "")), "n_repeat_words": covered}
+    taken = F.inline(F.array(F.struct(*(c.cast("long").alias(name) for name, c in measures.items()))))
     return (
         docs.withColumns({words: F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), lines: with_word})
-        .withColumns({hashes: F.when(F.size(words) >= WINDOW, windows).otherwise(none), "n_words": F.size(words).cast("long"),
-                      "word_chars": F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.length(w)),
-                      "n_lines": F.size(lines).cast("long"), "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-                      "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long")})
+        .withColumn(hashes, F.when(F.size(words) >= WINDOW, windows).otherwise(none))
         .withColumn(bits, F.length(F.bin(F.size(hashes))))
         .withColumn(packed, F.sort_array(pack))
         .withColumn(starts, F.sort_array(F.transform(F.when(F.size(hashes) > 1, again).otherwise(F.array().cast("array<int>")), start)))
-        .withColumn("n_repeat_words", covered).drop(*names))
+        .select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in measures), taken))
 
 
 def rule_order(sample: DataFrame, rules: Mapping[str, Column], runs: int = 2) -> list[str]:
