@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fumarole import sources
 from fumarole.functions import finite, indexed_value, parse_instant, weekend
+from fumarole.plans import sizing
 from fumarole.plans.rowindex import with_row_index
 from fumarole.settings import SENSORS
 
@@ -71,6 +72,22 @@ def test_too_few_columns(spark, tmp_path):
         sources.canonicalize(sources.read_wide_csv(spark, str(tmp_path / "w.csv")))
 
 
+def test_row_index_survives_other_splits(spark, tmp_path, monkeypatch):
+    """Splits that change between the plan and its run, and offsets from a job of their own."""
+    monkeypatch.setattr(sizing, "is_small", lambda *a, **k: False)
+    path, key = str(tmp_path / "wide.csv"), "spark.sql.files.maxPartitionBytes"
+    spark.range(40_000).selectExpr("id as a0", "id * 3 as a1").coalesce(1).write.csv(path, header=True)
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64000")
+        rows = with_row_index(spark.read.csv(path, header=True, schema="a0 long, a1 long"))
+        spark.conf.set(key, "9000000")
+        found = rows.agg(F.count("row_index").alias("n"), F.count_if(F.col("row_index") != F.col("a0")).alias("moved")).first()
+    finally:
+        spark.conf.set(key, before)
+    assert (found["n"], found["moved"]) == (40_000, 0)
+
+
 def test_row_index_follows_files_and_splits(spark, tmp_path):
     for k, n in enumerate([1000, 1, 500]):
         write_wide(tmp_path / f"part{k}.csv", n, 16, start=10_000 * k)
