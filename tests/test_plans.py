@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fumarole.catalog.queries import QUERIES
-from fumarole.operators import clean, cross, summary, windows
+from fumarole.operators import clean, cross, quality, summary, windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,6 +60,11 @@ def test_per_instant_features_aggregate_before_the_shuffle(table):
     assert "partial_covar_pop" in plan and "BroadcastHashJoin" in plan
 
 
+def test_quality_rules_shuffle_no_rows(table):
+    plan = plan_of(quality.check(table.withColumn("anomaly_flag", F.lit(0))))
+    assert exchanges(table) == 0 and re.findall(r"Exchange (\w+)", plan) == ["SinglePartition"]
+
+
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_nested_loop_or_cartesian_product(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
