@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from fumarole.functions import finite
 from fumarole.operators.quantiles import exact_quantiles
-from fumarole.plans.sizing import bounded_rows
 from fumarole.schema import NODES
 from fumarole.settings import (
     ALERT, ALERT_COLUMNS, CONTAMINATION, KEYS, MODEL_FEATURES, N_TREES, SEED, SUBSAMPLE,
@@ -35,36 +34,28 @@ def fit_iforest(
     rows = model_matrix(df, features, keys)
     n = rows.count()
     size = min(psi, n)
-    sample = _disjoint(rows, n, n_trees, psi, seed, keys) if n >= n_trees * psi else (
-        _overlapping(rows, n_trees, psi, seed, keys)
-    )
+    sample = _sampled(rows, n, n_trees, psi, seed, keys)
     grow = _grower(list(features), seed, max(1, math.ceil(math.log2(max(size, 2)))))
     # The sample is small in bytes but each tree takes time: keep the trees in separate tasks.
     tasks = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
     return sample.repartition(tasks, "tree_id").groupBy("tree_id").applyInPandas(grow, NODES)
 
 
-def _disjoint(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int, keys) -> DataFrame:
-    """The rows with the smallest hashes, dealt out to the trees in turn."""
-    need = n_trees * psi
-    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
-    share = (need + 6 * math.sqrt(need)) / n
-    while True:
-        # A cut by hash value first: only about ``need`` rows are ever sorted.
-        cut = min(2**63 - 1, int(-(2**63) + share * 2**64))
-        pool = bounded_rows(rows.where(F.col("_h") <= F.lit(cut)), 4 * need)
-        if pool is not None and pool.count() >= need:
-            break
-        share *= 1.3 if pool is not None else 0.7
-    rank = F.row_number().over(Window.orderBy("_h", *keys)) - 1
-    pool = pool.withColumn("_rank", rank).where(F.col("_rank") < need)
-    return pool.withColumn("tree_id", (F.col("_rank") % n_trees).cast("int")).drop("_rank")
-
-
-def _overlapping(rows: DataFrame, n_trees: int, psi: int, seed: int, keys) -> DataFrame:
-    """Few rows: every tree takes its own smallest hashes from all of them."""
-    rows = rows.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "tree_id", *keys))
+def _sampled(rows: DataFrame, n: int, n_trees: int, psi: int, seed: int, keys) -> DataFrame:
+    """For every tree the ``psi`` rows with its smallest key hashes, by one rule for any ``n``.
+
+    A row is copied only for the trees whose cut its hash is below; the cut leaves a
+    tree ``psi`` rows and eight standard deviations more, so few rows are ever sorted. Keys should be unique, as
+    dedup leaves them: rows that share one are drawn or passed over together.
+    """
+    share = min(1.0, (psi + 8 * math.sqrt(psi) + 16) / max(n, 1))
+    cut = min(2**63 - 1, int(-(2**63) + share * 2**64))
+
+    def hash_of(tree):
+        return F.xxhash64(F.lit(seed), tree, *keys)
+
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: hash_of(t) <= F.lit(cut))
+    rows = rows.withColumn("tree_id", F.explode(trees)).withColumn("_h", hash_of(F.col("tree_id")))
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy("_h", *keys))
     return rows.withColumn("_rank", rank).where(F.col("_rank") <= psi).drop("_rank")
 

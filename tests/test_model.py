@@ -111,3 +111,16 @@ def test_alerts_newest_first(rows):
     times = [r["timestamp"] for r in out.collect()]
     assert len(times) == 4 and times == sorted(times, reverse=True)
     assert {r["alert"] for r in out.collect()} == {"SENSOR_ANOMALY"}
+
+
+def test_one_sampling_rule_at_any_size(spark):
+    """A row more changes a tree's sample by that row at most; a key shared by all rows is no trap."""
+    def samples(n, key="id"):
+        rows = spark.range(n).selectExpr(f"{key} as k", "id")
+        found = model._sampled(rows, n, 5, 6, 1, ["k"]).select("tree_id", "id").collect()
+        return {t: {r["id"] for r in found if r["tree_id"] == t} for t in range(5)}
+
+    for n in (29, 59, 2000):
+        less, more = samples(n), samples(n + 1)
+        assert all(len(less[t]) == 6 and more[t] - less[t] <= {n} for t in range(5))
+    assert all(len(s) in (0, 6) for s in samples(3000, "0").values())
