@@ -6,12 +6,14 @@ each worth log2 of the sample's length in bits, estimate the text's cross-entrop
 language. The language with the fewest bits wins. Letters count, case and all other characters
 do not: a run of other characters is one blank.
 
-A task lays its texts out as rows of CHUNK symbols and takes one symbol of all rows at a time
-through the automaton's transition table, so the parsing is a few array operations per symbol.
+Every letter of the samples is a symbol of its own, whatever the number of letters and scripts;
+only letters that no sample holds are alike, and end a phrase. A language tells apart the letters
+of its own sample. A task lays its texts out as rows of CHUNK symbols and takes one symbol of all
+rows at a time through the automaton's transitions, so the parsing is a few array operations per
+symbol. Transitions are a table of states by letters, or a hash table where that would be large.
 """
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumarole.llm.common import small_batches
+from fumarole.llm.common import GOLDEN, small_batches
 
 #: Labelled text per language that is learned, in characters: the stated bound of the sample.
 SAMPLE_CHARS = 40_000
 MAX_LANGUAGES = 100
-#: Letters told apart, the most frequent ones of the samples; any other letter ends a phrase.
-MAX_LETTERS = 96
+#: Cells of all tables of states by letters together; a larger automaton is a hash table.
+DENSE_CELLS = 1 << 26
 CHUNK = 256
 ROWS_AT_ONCE = 1 << 14
 PIECE_CHARS = CHUNK << 12
@@ -93,37 +95,112 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return steps
 
 
-class Parser:
-    """Automata of all languages as tables of the next step.
+class Dense:
+    """An automaton as a table of the next step.
 
     ``table[state * width + symbol]`` is twice the next state's row, plus one where a phrase ends
-    before the symbol. The last symbol of the alphabet fills short rows and changes nothing.
+    before the symbol. The last symbol fills short rows and changes nothing.
+    """
+
+    def __init__(self, steps: list[dict[int, int]], width: int):
+        table = np.full((len(steps), width), -1, np.int64)
+        for state, to in enumerate(steps):
+            table[state, list(to)] = list(to.values())
+        start = np.maximum(table[0], 0)
+        ends = table < 0
+        table = np.where(ends, start, table) * width * 2 + ends
+        table[:, -1] = np.arange(len(steps)) * width * 2
+        self.table = table.astype(np.int32 if table.max() < 2**31 else np.int64).ravel()
+
+    def phrases(self, columns: np.ndarray) -> np.ndarray:
+        state = np.zeros(columns.shape[1], self.table.dtype)
+        count = np.ones(columns.shape[1], np.int32)
+        for symbols in columns:
+            step = self.table.take(state + symbols)
+            count += (step & 1).astype(np.int32)
+            state = step >> 1
+        return count
+
+
+class Sparse:
+    """The same automaton as a hash table of its transitions, whose size the letters do not add to.
+
+    The key ``state * width + symbol`` stands at its hash or, if that is taken, in the next free slot.
+    """
+
+    EMPTY = np.uint64(2**64 - 1)
+
+    def __init__(self, steps: list[dict[int, int]], width: int):
+        self.width, self.fill = np.uint64(width), width - 1
+        self.start = np.zeros(width, np.uint64)
+        self.start[list(steps[0])] = list(steps[0].values())
+        keys = np.array([state * width + c for state, to in enumerate(steps) for c in to], np.uint64)
+        values = np.array([x for to in steps for x in to.values()], np.uint64)
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), np.uint64((1 << bits) - 1)
+        self.keys, self.values = np.full(1 << bits, self.EMPTY), np.zeros(1 << bits, np.uint64)
+        slots = self.slots(keys)
+        while len(keys):
+            free = self.keys[slots] == self.EMPTY
+            self.keys[slots[free]] = keys[free]
+            placed = self.keys[slots] == keys
+            self.values[slots[placed]] = values[placed]
+            keys, values, slots = keys[~placed], values[~placed], (slots[~placed] + np.uint64(1)) & self.last
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * GOLDEN) >> self.shift
+
+    def phrases(self, columns: np.ndarray) -> np.ndarray:
+        state = np.zeros(columns.shape[1], np.uint64)
+        count = np.ones(columns.shape[1], np.int32)
+        for symbols in columns:
+            keys = state * self.width + symbols
+            slots = self.slots(keys)
+            found = self.keys.take(slots)
+            on = np.flatnonzero((found != keys) & (found != self.EMPTY))
+            while len(on):
+                slots[on] = (slots[on] + np.uint64(1)) & self.last
+                found[on] = self.keys.take(slots[on])
+                on = on[(found[on] != keys[on]) & (found[on] != self.EMPTY)]
+            known, filled = found == keys, symbols == self.fill
+            count += ~known & ~filled
+            state = np.where(filled, state, np.where(known, self.values.take(slots), self.start.take(symbols)))
+        return count
+
+
+def folded(c: str) -> str:
+    """``c`` without its case; a letter whose small form is several characters stays."""
+    small = c.lower()
+    return small if len(small) == 1 else c
+
+
+class Parser:
+    """Automata of all languages over one alphabet, the letters of all samples.
+
+    ``symbol`` is the symbol of a character, ``known[k]`` the symbol in language k of a symbol: OTHER
+    for letters that its sample does not hold. The last symbol of an alphabet fills short rows.
     """
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
-        lowered = {lang: text.lower() for lang, text in samples}
-        counts = Counter(c for text in lowered.values() for c in text if c.isalpha())
-        letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS]]
-        self.symbol = np.fromiter((OTHER if chr(i).isalpha() else BLANK for i in range(0x110000)), np.uint8, 0x110000)
-        for i, c in enumerate(letters):
-            for form in (c, c.upper()):
-                if len(form) == 1:
-                    self.symbol[ord(form)] = i + 2
-        self.width, self.fill = len(letters) + 3, len(letters) + 2
-        self.languages = sorted(lowered)
-        self.tables, self.bits = [], []
+        texts = dict(samples)
+        letters = sorted({folded(c) for text in texts.values() for c in set(text) if c.isalpha()})
+        numbers = {c: i for i, c in enumerate(letters, 2)}
+        self.fill = len(letters) + 2
+        self.symbol = np.fromiter(
+            (numbers.get(folded(c), OTHER) if c.isalpha() else BLANK for c in map(chr, range(0x110000))),
+            np.min_scalar_type(self.fill), 0x110000)
+        self.languages = sorted(texts)
+        self.known, self.automata, self.bits = [], [], []
         for lang in self.languages:
-            symbols = self.symbols(lowered[lang])
-            steps = suffix_automaton(symbols.tolist())
-            table = np.full((len(steps), self.width), -1, np.int64)
-            for state, to in enumerate(steps):
-                table[state, list(to)] = list(to.values())
-            table[:, OTHER] = -1
-            start = np.maximum(table[0], 0)
-            ends = table < 0
-            table = np.where(ends, start, table) * self.width * 2 + ends
-            table[:, self.fill] = np.arange(len(steps)) * self.width * 2
-            self.tables.append(table.astype(np.int32 if table.max() < 2**31 else np.int64).ravel())
+            symbols = self.symbols(texts[lang])
+            own = np.unique(symbols[symbols > BLANK])
+            width = len(own) + 3
+            known = np.zeros(self.fill + 1, np.min_scalar_type(width))
+            known[BLANK], known[own], known[self.fill] = BLANK, np.arange(2, width - 1), width - 1
+            steps = suffix_automaton(known[symbols].tolist())
+            dense = len(steps) * width * max(8, len(texts)) <= DENSE_CELLS
+            self.known.append(known)
+            self.automata.append((Dense if dense else Sparse)(steps, width))
             self.bits.append(math.log2(max(2, len(symbols))))
 
     def symbols(self, text: str) -> np.ndarray:
@@ -134,15 +211,9 @@ class Parser:
     def phrases(self, rows: np.ndarray) -> np.ndarray:
         """Phrases of every row of symbols, by language; the phrase that a row ends in counts."""
         columns = np.ascontiguousarray(rows.T)
-        out = np.empty((len(self.tables), len(rows)), np.int64)
-        for k, table in enumerate(self.tables):
-            state = np.zeros(len(rows), table.dtype)
-            count = np.ones(len(rows), np.int32)
-            for symbols in columns:
-                step = table.take(state + symbols)
-                count += (step & 1).astype(np.int32)
-                state = step >> 1
-            out[k] = count
+        out = np.empty((len(self.automata), len(rows)), np.int64)
+        for k, automaton in enumerate(self.automata):
+            out[k] = automaton.phrases(self.known[k].take(columns))
         return out
 
 
@@ -172,7 +243,7 @@ def _prediction_rows(samples: tuple[tuple[str, str], ...]):
                     symbols = p.symbols(text[at:at + PIECE_CHARS])
                     letters[i] |= bool((symbols != BLANK).any())
                     n = -(-len(symbols) // CHUNK)
-                    padded = np.full(n * CHUNK, p.fill, np.uint8)
+                    padded = np.full(n * CHUNK, p.fill, p.symbol.dtype)
                     padded[:len(symbols)] = symbols
                     rows.append(padded.reshape(n, CHUNK)), owners.append(np.full(n, i))
                     waiting += n

@@ -45,6 +45,41 @@ def test_phrases_equal_a_plain_parsing():
         assert p.phrases(row)[0, 0] == count
 
 
+def scripts(seed: int = 1) -> dict[str, list[str]]:
+    """Texts of three languages, two of which have 600 letters of their own and 200 in common."""
+    rng = np.random.default_rng(seed)
+    alphabets = {"a": range(0x4E00, 0x4E00 + 800), "b": [*range(0x4E00, 0x4E00 + 200), *range(0xAC00, 0xAC00 + 600)], "c": range(97, 123)}
+    out = {}
+    for lang, letters in alphabets.items():
+        words = ["".join(map(chr, rng.choice(letters, rng.integers(1, 4)))) for _ in range(900)]
+        out[lang] = [" ".join(rng.choice(words, 12)) for _ in range(260)]
+    return out
+
+
+def test_two_scripts_of_many_letters(spark):
+    texts = scripts()
+    # The least sample has the fewest bits a phrase, so it takes whatever no automaton knows.
+    samples = {lang: "\n".join(t[:200 if lang != "c" else 20]) for lang, t in texts.items()}
+    rows = [(i, lang, t) for i, (lang, t) in enumerate((lang, t) for lang in texts for t in texts[lang][200:])]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs.drop("lang"), samples).collect()}
+    assert [got[i] for i, _, _ in rows] == [lang for _, lang, _ in rows]
+
+
+def test_hash_table_and_table_parse_alike(monkeypatch):
+    texts = scripts(2)
+    samples = tuple((lang, " ".join(t[:60])) for lang, t in texts.items())
+    dense = language.Parser(samples)
+    monkeypatch.setattr(language, "DENSE_CELLS", 0)
+    sparse = language.Parser(samples)
+    assert {type(x) for x in dense.automata} == {language.Dense} and {type(x) for x in sparse.automata} == {language.Sparse}
+    rows = np.full((120, 80), dense.fill, dense.symbol.dtype)
+    for i in range(120):
+        symbols = dense.symbols("abc"[i % 3].join((texts["abc"[i % 3]][i + 60], "Q\u0416"))[:80])
+        rows[i, :len(symbols)] = symbols
+    assert (dense.phrases(rows) == sparse.phrases(rows)).all()
+
+
 def test_held_out_languages(spark):
     lang = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op2_language_id"](spark, SF).join(lang, "doc_id").where("held_out and lang is not null").collect()
