@@ -19,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fumarole.llm.common import GOLDEN, small_batches
@@ -27,6 +27,8 @@ from fumarole.llm.common import GOLDEN, small_batches
 #: Labelled text per language that is learned, in characters: the stated bound of the sample.
 SAMPLE_CHARS = 40_000
 MAX_LANGUAGES = 100
+#: How much wider a share of hashes is drawn where a smaller one held too few characters.
+WIDER = 16
 #: Cells of all tables of states by letters together; a larger automaton is a hash table.
 DENSE_CELLS = 1 << 26
 CHUNK = 256
@@ -41,32 +43,39 @@ UNKNOWN = "und"
 def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Sample text by language from ``docs`` (text, lang), at most ``sample_chars`` each.
 
-    Texts are chosen by the hash of the text, so the sample does not depend on layout and copies
-    are taken once; languages and texts that are null are left out. A text longer than what is
-    missing is cut. The driver holds MAX_LANGUAGES * sample_chars characters at most.
+    The texts with the smallest hashes are taken until their characters suffice or there are no
+    more, so the sample does not depend on layout and copies are taken once; languages and texts
+    that are null are left out. A text longer than what is missing is cut. The driver holds
+    MAX_LANGUAGES * sample_chars characters at most.
     """
-    texts = docs.where("lang is not null and length(text) > 0").select("lang", "text", F.xxhash64("text").alias("place"))
-    sums = texts.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"), F.min("place").alias("least")).limit(MAX_LANGUAGES + 1).collect()
+    texts = docs.where("lang is not null and length(text) > 0").select(
+        "lang", F.substring("text", 1, sample_chars).alias("text"), F.xxhash64("text").alias("place"))
+    sums = texts.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).limit(MAX_LANGUAGES + 1).collect()
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sums:
-        return {}
+    # Four times the characters that are wanted, by hash, before anything is sorted. Where copies make up
+    # most of a language that is too few, and the language is drawn again with a wider share.
+    shares = {r["lang"]: 4 * sample_chars / r["chars"] for r in sums}
+    found: dict[str, list[str]] = {}
+    while shares:
+        found |= (drawn := _drawn(texts, shares, sample_chars))
+        shares = {lang: WIDER * share for lang, share in shares.items()
+                  if share < 1 and sum(map(len, drawn.get(lang, ()))) < sample_chars}
+    return {lang: "\n".join(parts) for lang, parts in found.items()}
 
-    def by_language(values: dict) -> Column:
-        return F.element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), F.col("lang"))
 
-    # Four times the characters that are wanted, by hash, before anything is sorted; one text at least.
-    share = by_language({r["lang"]: min(1.0, 4 * sample_chars / r["chars"]) for r in sums})
-    least = by_language({r["lang"]: r["least"] for r in sums})
-    drawn = ((F.col("place") / F.lit(2.0 ** 64) + 0.5) < share) | (F.col("place") == least)
-    few = texts.where(drawn).dropDuplicates(["lang", "place"])
+def _drawn(texts: DataFrame, shares: dict[str, float], sample_chars: int) -> dict[str, list[str]]:
+    """Different texts of the languages in ``shares``, by hash, out of that share of all hashes."""
+    share = F.element_at(F.create_map(*(F.lit(x) for lang, part in shares.items() for x in (lang, part if part < 1 else 2.0))), F.col("lang"))
+    few = (texts.where(F.col("lang").isin(list(shares)) & ((F.col("place") / F.lit(2.0 ** 64) + 0.5) < share))
+           .dropDuplicates(["lang", "place"]))
     before = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)) - F.length("text")
     rows = few.withColumn("before", before).where(F.col("before") < sample_chars).select(
         "lang", "place", F.substring("text", F.lit(1), F.lit(sample_chars) - F.col("before").cast("int")).alias("text")).collect()
     found: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["place"])):
         found.setdefault(r["lang"], []).append(r["text"])
-    return {lang: "\n".join(parts) for lang, parts in found.items()}
+    return found
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:

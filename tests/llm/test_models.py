@@ -1,4 +1,5 @@
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from fumarole.llm import language, neighbours
@@ -80,6 +81,23 @@ def test_hash_table_and_table_parse_alike(monkeypatch):
     assert (dense.phrases(rows) == sparse.phrases(rows)).all()
 
 
+def test_sample_beside_copies_and_a_long_text(spark):
+    rng = np.random.default_rng(3)
+    texts = {lang: [lang + " ".join(map(str, rng.integers(0, 10**6, 15))) for _ in range(n)] for lang, n in (("a", 400), ("b", 400), ("c", 400), ("d", 3))}
+    long, copied, wanted = "long " * 100_000, "copied " * 200, 4000
+    held = {"a": [*texts["a"], long], "b": [*texts["b"], *[copied] * 5000], "c": texts["c"], "d": [*texts["d"], *texts["d"]]}
+    docs = spark.createDataFrame([(lang, t) for lang, ts in held.items() for t in ts], "lang string, text string")
+    got = language.learn(docs, wanted)
+    for lang, ts in held.items():
+        left, parts = wanted, []
+        for t in sorted(set(ts), key=lambda t: (xxhash.xxh64_intdigest(t, 42) + 2**63) % 2**64):
+            if left > 0:
+                parts.append(t[:left])
+                left -= len(parts[-1])
+        assert got[lang] == "\n".join(parts)
+        assert len(got[lang]) >= min(wanted, sum(map(len, set(ts))))
+
+
 def test_held_out_languages(spark):
     lang = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op2_language_id"](spark, SF).join(lang, "doc_id").where("held_out and lang is not null").collect()
