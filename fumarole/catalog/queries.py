@@ -77,23 +77,23 @@ def json_extract(spark, sf):
     return table(spark, sf, "events").select("event_id", k.alias("k"), F.to_json(F.struct(k.alias("k"))).alias("again"))
 
 
+def feeds(spark, sf) -> list[tuple[DataFrame, int]]:
+    """Events as feeds by type; the last feed has all other events too, those without a type as well."""
+    events = table(spark, sf, "events").withColumn("source", F.col("event_type"))
+    first = ["signup", "click", "error", "purchase"]
+    rest = ~F.coalesce(F.col("event_type").isin(first), F.lit(False))
+    return [*((events.where(F.col("event_type") == t), p) for p, t in enumerate(first)), (events.where(rest), len(first))]
+
+
 @query
 def union_of_feeds(spark, sf):
-    events = table(spark, sf, "events")
-    feeds = [(events.where(F.col("event_type") == t).withColumn("source", F.lit(t)), p)
-             for p, t in enumerate(["signup", "click", "error", "purchase", "view"])]
-    rows = union_sources(feeds)
+    rows = union_sources(feeds(spark, sf))
     return rows.select("event_id", sensor_of().alias("sensor_id"), "source", "priority")
 
 
 @query
 def union_sources_last_feed_wins(spark, sf):
-    events = table(spark, sf, "events")
-    feeds = [
-        (event_readings(events.where(F.col("event_type") == t)).withColumn("source", F.lit(t)), p)
-        for p, t in enumerate(["signup", "click", "error", "purchase", "view"])
-    ]
-    rows = clean.dedup_keep_last(union_sources(feeds))
+    rows = clean.dedup_keep_last(union_sources([(event_readings(df, keep=["source"]), p) for df, p in feeds(spark, sf)]))
     return rows.select(*KEY, r6("reading_value"), "source", "priority", "seq")
 
 

@@ -21,11 +21,11 @@ def reading_of() -> Column:
     )
 
 
-def event_readings(events: DataFrame, grain: str | None = "minute") -> DataFrame:
+def event_readings(events: DataFrame, grain: str | None = "minute", keep=()) -> DataFrame:
     ts = "ts" if grain is None else f"cast(date_trunc('{grain}', ts) as timestamp_ntz)"
     return events.select(
         sensor_of().alias("sensor_id"), F.expr(ts).alias("timestamp"), reading_of().alias("reading_value"),
-        F.col("event_id").alias("seq"),
+        F.col("event_id").alias("seq"), *keep,
     )
 
 
