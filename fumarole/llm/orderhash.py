@@ -2,7 +2,8 @@
 
 The k-mers are runs of words, numbered by occurrence, so a repeated passage counts as often as it
 stands. Each of TUPLES entries takes the smallest k-mer under each of LENGTH hash functions, puts
-them in text order and hashes the tuple. The share of equal entries estimates a likeness that
+them in text order and hashes the tuple. A function is a hash of the numbered k-mer and the
+function's key, so each orders the k-mers on its own. The share of equal entries estimates a likeness that
 falls with moved, inserted and removed passages, as edit distance does, where plain MinHash would
 not see an order. Spark expressions and plain aggregates only.
 """
@@ -20,11 +21,11 @@ ENTRY_CHARS = 8
 
 
 def _keys(count: int) -> list[int]:
-    """Fixed numbers that turn one hash into many: x ^ key orders the hashes anew for every key."""
+    """Fixed 64-bit numbers, one for each hash function: a k-mer is hashed again after ^ key."""
     state, out = 0x9E3779B97F4A7C15, []
     for _ in range(count):
         state = (state * 6364136223846793005 + 1442695040888963407) & ((1 << 64) - 1)
-        out.append((state >> (64 - HASH_BITS)) << POSITION_BITS)
+        out.append(state - (1 << 64) if state >> 63 else state)
     return out
 
 
@@ -39,8 +40,8 @@ def fingerprints(texts: DataFrame, text: str, width: int = WORDS, tuples: int =
     by all other columns, which costs no shuffle where ``texts`` is dealt out by some of them.
     """
     row = [c for c in texts.columns if c != text]
-    words, kmers, packed, starts, run, at, size, nth, kmer = (
-        fresh(texts, f"omh_{c}") for c in ("words", "kmers", "packed", "starts", "run", "at", "size", "nth", "kmer"))
+    words, kmers, packed, starts, run, at, size, nth, kmer, place = (
+        fresh(texts, f"omh_{c}") for c in ("words", "kmers", "packed", "starts", "run", "at", "size", "nth", "kmer", "place"))
     n = F.size(words)
     above = ((1 << HASH_BITS) - 1) << POSITION_BITS
     below = (1 << POSITION_BITS) - 1
@@ -62,13 +63,16 @@ def fingerprints(texts: DataFrame, text: str, width: int = WORDS, tuples: int =
         .withColumn(size, F.coalesce(F.get(starts, F.col(run) + 1), F.size(packed)) - F.col(at))
         .select(*row, packed, at, F.explode_outer(F.when(F.col(at).isNotNull(), F.sequence(F.lit(0), F.col(size) - 1))).alias(nth)))
     one = F.get(packed, F.col(at) + F.col(nth))
-    numbered = F.xxhash64(hash_of(one), F.col(nth)).bitwiseAND(F.lit(above)).bitwiseOR(one.bitwiseAND(F.lit(below)))
-    keys = _keys(tuples * length)
-    least = runs.select(*row, F.when(F.col(at).isNotNull(), numbered).alias(kmer)).groupBy(*row).agg(
-        *(F.min(F.col(kmer).bitwiseXOR(F.lit(k))).alias(f"omh_least_{i}") for i, k in enumerate(keys)))
+    numbered = runs.select(*row, F.xxhash64(hash_of(one), F.col(nth)).alias(kmer), one.bitwiseAND(F.lit(below)).alias(place))
+
+    def ordered(key: int) -> Column:
+        """The k-mer's hash under a key above its position; null without a k-mer, as the position is."""
+        return F.xxhash64(F.col(kmer).bitwiseXOR(F.lit(key))).bitwiseAND(F.lit(above)).bitwiseOR(F.col(place))
+
+    least = numbered.groupBy(*row).agg(*(F.min(ordered(k)).alias(f"omh_least_{i}") for i, k in enumerate(_keys(tuples * length))))
 
     def entry(t: int) -> Column:
-        chosen = [F.col(f"omh_least_{t * length + i}").bitwiseXOR(F.lit(keys[t * length + i])) for i in range(length)]
+        chosen = [F.col(f"omh_least_{t * length + i}") for i in range(length)]
         if length == 2:
             a, b = chosen
             before = a.bitwiseAND(F.lit(below)) <= b.bitwiseAND(F.lit(below))

@@ -109,6 +109,15 @@ def test_fingerprints_see_order_and_edits(spark):
     assert same(found[0], found[3]) > 0.874 - 0.176 > same(found[0], found[2]) > same(found[0], found[7]) == 0
 
 
+def test_entries_of_short_texts_are_independent(spark):
+    # 6 of 18 runs are shared by every pair, so the share of 64 independent entries varies by 2 / 9 / 64.
+    pairs = [(" ".join(f"{i}s{j}" for j in range(8)), " ".join(f"{i}{side}{j}" for j in range(6))) for i in range(200) for side in "ab"]
+    rows = spark.createDataFrame([(k, f"{tail} {head}") for k, (head, tail) in enumerate(pairs)], "k long, text string")
+    found = orderhash.fingerprints(rows, "text", tuples=64, length=1).orderBy("k").collect()
+    shares = [same(a["fingerprint"], b["fingerprint"]) for a, b in zip(found[::2], found[1::2])]
+    assert abs(np.mean(shares) - 1 / 3) < 0.02 and np.var(shares) < 1.5 * 2 / 9 / 64
+
+
 def test_edited_texts_follow_the_ids(spark, odd, none):
     rows = [(i * 3, "".join(chr(97 + (i * 7 + j) % 26) for j in range(i % 11))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
