@@ -12,6 +12,7 @@ from fumarole.operators.clean import clean_windows, dedup_keep_last, minmax_norm
 from fumarole.operators.cross import cross_features
 from fumarole.operators.windows import sliding_window_aggregates, window_features, with_reading_date
 from fumarole.plans.sizing import stored_if_large
+from fumarole.schema import CORRUPT
 from fumarole.settings import N_CHANNELS, SENSORS
 from fumarole.sinks import (
     as_stored, save_model, save_table, write_csv, write_json, write_parquet, write_partitioned,
@@ -19,13 +20,24 @@ from fumarole.sinks import (
 
 
 def load_raw(spark: SparkSession, wide_csv: str, feeds=(), channels=tuple(SENSORS)) -> DataFrame:
-    """Long readings of a wide CSV and of message files; later feeds win over earlier ones."""
+    """Long readings of a wide CSV and of message files; later feeds win over earlier ones.
+
+    Malformed lines are not among them; ``load_with_bad`` has them too.
+    """
+    return load_with_bad(spark, wide_csv, feeds, channels)[0]
+
+
+def load_with_bad(spark: SparkSession, wide_csv: str, feeds=(), channels=tuple(SENSORS)) -> tuple[DataFrame, DataFrame]:
+    """``load_raw`` and the malformed lines of the message files: path, seq, _corrupt_record."""
+    bad = spark.createDataFrame([], f"path string, seq long, {CORRUPT} string")
     batch = sources.canonicalize(sources.read_wide_csv(spark, wide_csv), channels)
     parts = [(sources.wide_to_long(batch, "batch", channels).withColumn("seq", F.lit(0).cast("long")), 0)]
     for priority, path in enumerate(feeds, 1):
-        messages = sources.message_frame(sources.read_messages(spark, path, channels, number="seq"), channels)
+        lines = sources.read_messages(spark, path, channels, number="seq")
+        bad = bad.unionByName(lines.where(F.col(CORRUPT).isNotNull()).select(F.lit(path).alias("path"), "seq", CORRUPT))
+        messages = sources.message_frame(lines, channels)
         parts.append((sources.wide_to_long(messages, "stream", channels, keep=["seq"]), priority))
-    return sources.union_sources(parts)
+    return sources.union_sources(parts), bad
 
 
 def cleaned(raw: DataFrame, order=("priority", "seq"), block_rows: int | None = None) -> DataFrame:
@@ -46,6 +58,7 @@ class Layers:
     """Where ``run`` wrote what."""
 
     raw: str
+    quarantine: str
     cleaned: str
     features: str
     final: str
@@ -57,16 +70,22 @@ class Layers:
 
 
 def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: int = N_CHANNELS,
-        tables: bool = False, strict: bool = True) -> Layers:
+        tables: bool = False, strict: bool = True, bad: DataFrame | None = None) -> Layers:
     """Run every stage. A stage reads what the stage before stored, so none is computed twice.
 
     Data that fails the quality rules is not published: with ``strict`` the job ends after the
-    report, and earlier partitions, alerts and tables stay as they are.
+    report, and earlier partitions, alerts and tables stay as they are. ``bad``, the malformed
+    lines of ``load_with_bad``, goes to the quarantine beside the raw layer; the report has their
+    number, null where ``bad`` is not given.
     """
     spark = raw.sparkSession
     at = Layers(**{name: f"{out}/{name}" for name in Layers.__dataclass_fields__})
 
     write_parquet(raw, at.raw)
+    n_bad = None
+    if bad is not None:
+        write_parquet(bad, at.quarantine)
+        n_bad = spark.read.parquet(at.quarantine).count()
     raw = spark.read.parquet(at.raw)
     write_parquet(as_stored(cleaned(raw, order)), at.cleaned)
     clean = spark.read.parquet(at.cleaned)
@@ -82,7 +101,7 @@ def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: i
     final = spark.read.parquet(at.final)
 
     result = quality.report(final, expected_sensors=expected_sensors)
-    write_json(result, at.report)
+    write_json(result.withColumn("quarantined_lines", F.lit(n_bad).cast("long")), at.report)
     if strict:
         quality.enforce(spark.read.json(at.report))
     write_partitioned(final, at.partitioned)

@@ -113,6 +113,20 @@ def test_instants_as_text_are_utc(spark):
     assert got == {m: pd.Timestamp(m, unit="us").strftime("%Y-%m-%dT%H:%M:%S.%fZ") for m in micros}
 
 
+def test_malformed_lines_are_kept_and_counted(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text("\n".join([",".join(f"a{k}" for k in range(16)), *[",".join(str(k + i % 7) for k in range(16)) for i in range(60)]]))
+    good = json.dumps({"timestamp": "2025-01-01T00:03:00+00:00", "source": "x", **{s: 1.0 for s in SENSORS}})
+    (tmp_path / "http.jsonl").write_text("\n".join([good, "{bad", good]))
+    (tmp_path / "mqtt.jsonl").write_text('{"timestamp": \n')
+    feeds = [str(tmp_path / f"{n}.jsonl") for n in ("http", "mqtt", "received")]
+    raw, bad = stages.load_with_bad(spark, str(tmp_path / "wide.csv"), feeds)
+    assert raw.count() == 16 * (60 + 2)
+    at = stages.run(raw, str(tmp_path / "out"), strict=False, bad=bad)
+    kept = sorted((r["path"], r["seq"], r["_corrupt_record"].strip()) for r in spark.read.parquet(at.quarantine).collect())
+    assert kept == [(feeds[0], 1, "{bad"), (feeds[1], 0, '{"timestamp":')]
+    assert sources.read_report(spark, at.report).first()["quarantined_lines"] == 2
+
+
 def test_dynamic_partition_overwrite(spark, tmp_path):
     path = str(tmp_path / "p")
     first = spark.createDataFrame([("2025-01-01", 1), ("2025-01-02", 2)], "reading_date string, v int")
