@@ -124,3 +124,55 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
   cast(sum(length({_ESCAPED.format("text")}) + (case when starts then 12 + length(head) + 1 else 10 end) + (case when ends then 11 else 0 end)) as bigint) as formatted_chars
 from marked group by conv_id
 """
+
+_FIELD = "coalesce(octet_length(encode({0})) || ':' || {0}, '-')"
+_LEAF = " || ".join(_FIELD.format(c) for c in ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)")) + " || " + _FIELD
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit: a byte comes in, and -1 stands for each of its eight shifts."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda d: [cast(ascii(d) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    shifted = "xor(c >> 1, 3988292384 * (c & 1))"
+    return f"xor(list_reduce([4294967295::bigint] || {steps}, lambda c, x: case when x >= 0 then xor(c, x) else {shifted} end), 4294967295)"
+
+
+ORACLE["op12_merkle_manifest"] = rf"""
+with recursive leaves as (
+  select doc_id, source, sha256({_LEAF.format("text")}) as leaf,
+    sha256({_LEAF.format(f"(case when {_crc32('cast(doc_id as varchar)')} % 5 = 0 then translate(text, '{A_Z}', '{LOWER}') else text end)")}) as held,
+    row_number() over (partition by source order by doc_id) - 1 as place, count(*) over (partition by source) as n
+  from documents
+), nodes as (
+  select 0 as level, source, place, n, leaf as h from leaves
+  union all
+  select level + 1, source, place // 16, (n + 15) // 16, sha256(string_agg(h, '' order by place)) from nodes where n > 1 group by level, source, place // 16, n
+), subroots as (
+  select source, h, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n from nodes where n = 1
+), tops as (
+  select 0 as level, place, n, h from subroots
+  union all
+  select level + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' order by place)) from tops where n > 1 group by level, place // 16, n
+), siblings as (
+  select a.level, a.source, a.place, coalesce(string_agg(b.h, '' order by b.place) filter (b.place < a.place), '') as l,
+    coalesce(string_agg(b.h, '' order by b.place) filter (b.place > a.place), '') as r
+  from nodes a join nodes b on a.level = b.level and a.source is not distinct from b.source and a.place // 16 = b.place // 16 where a.n > 1 group by all
+), top_siblings as (
+  select a.level, a.place, coalesce(string_agg(b.h, '' order by b.place) filter (b.place < a.place), '') as l,
+    coalesce(string_agg(b.h, '' order by b.place) filter (b.place > a.place), '') as r
+  from tops a join tops b on a.level = b.level and a.place // 16 = b.place // 16 where a.n > 1 group by all
+), steps as (
+  select d.doc_id, s.level, s.l, s.r from leaves d join siblings s on d.source is not distinct from s.source and s.place = d.place // cast(power(16, s.level) as bigint)
+  union all
+  select d.doc_id, 100 + t.level, t.l, t.r from leaves d join subroots s on d.source is not distinct from s.source
+    join top_siblings t on t.place = s.place // cast(power(16, t.level) as bigint)
+), paths as (
+  select doc_id, list(struct_pack(l := l, r := r) order by level) as path, sha256(string_agg(l || r, '' order by level)) as proof from steps group by doc_id
+), folds as (
+  select doc_id, held as h, 1 as k from leaves
+  union all
+  select f.doc_id, sha256(path[k].l || h || path[k].r), k + 1 from folds f join paths p on f.doc_id = p.doc_id where k <= len(path)
+)
+select d.doc_id, d.leaf, s.h as subroot, t.h as root, coalesce(p.proof, sha256('')) as proof_sha256, f.h as folded_root, f.h = t.h as verified
+from leaves d join subroots s on d.source is not distinct from s.source join tops t on t.n = 1 left join paths p on p.doc_id = d.doc_id
+join folds f on f.doc_id = d.doc_id and f.k = coalesce(len(p.path), 0) + 1
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fumarole.llm import bpe, chat, jaccard, language, lines, mixing, neighbours, orderhash, rules, substrings
+from fumarole.llm import bpe, chat, jaccard, language, lines, merkle, mixing, neighbours, orderhash, rules, substrings
 from fumarole.llm.common import held_out
 from fumarole.llm.oracle import ORACLE
 
@@ -109,6 +109,21 @@ def op10_chat_formatting(spark, sf):
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op12_merkle_manifest(spark, sf):
+    """The suspect copy of every fifth document has its text lower-cased."""
+    docs = documents(spark, sf)
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    suspect = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    leaves = docs.select(
+        "doc_id", merkle.group_key(F.col("source")).alias(merkle.GROUP), merkle.leaf_hash(*head, F.col("text")).alias("digest"),
+        F.when(suspect, merkle.leaf_hash(*head, merkle.lower_ascii(F.col("text")))).alias("suspect"))
+    found = merkle.manifest(leaves).withColumn("folded_root", merkle.folded(F.coalesce("suspect", "digest"), F.col("path")))
+    return found.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.proof_hash(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 @query
 def pipeline(spark, sf):
     import corpus_pipeline
