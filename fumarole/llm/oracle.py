@@ -125,6 +125,26 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
 from marked group by conv_id
 """
 
+ORACLE["op11_fill_in_middle"] = r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || cast(doc_id as varchar)) as h from documents
+), numbers as (
+  select doc_id, t, u, len(u) as n, list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(h, i, 8) as bigint)) as h from drawn
+), cut as (
+  select doc_id, t, u, n, h, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b from numbers
+), parts as (
+  select doc_id, t, n, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h[3] % 100 >= 90 then 'plain'
+      when h[4] % 100 < 20 then 'spm' else 'psm' end as form,
+    array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:n], '') as s
+  from cut
+)
+select doc_id, cast(n as bigint) as n, form, cast(case when form <> 'plain' then length(p) end as bigint) as prefix_chars,
+  cast(case when form <> 'plain' then length(m) end as bigint) as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
 _FIELD = "coalesce(octet_length(encode({0})) || ':' || {0}, '-')"
 _LEAF = " || ".join(_FIELD.format(c) for c in ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)")) + " || " + _FIELD
 

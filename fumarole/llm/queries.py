@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fumarole.llm import bpe, chat, jaccard, language, lines, merkle, mixing, neighbours, orderhash, rules, substrings
-from fumarole.llm.common import held_out
+from fumarole.llm import bpe, chat, jaccard, language, lines, merkle, middle, mixing, neighbours, orderhash, rules, substrings
+from fumarole.llm.common import held_out, stored
 from fumarole.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,12 @@ def op10_chat_formatting(spark, sf):
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query
+def op11_fill_in_middle(spark, sf):
+    framed = stored(middle.framed_texts(documents(spark, sf)), "framed")
+    return middle.digests(middle.fill_in_middle(framed))
+
+
 @query
 def op12_merkle_manifest(spark, sf):
     """The suspect copy of every fifth document has its text lower-cased."""
