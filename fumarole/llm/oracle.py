@@ -125,6 +125,25 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
 from marked group by conv_id
 """
 
+ORACLE["op13_minhash_near_dedup"] = rf"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{A_Z}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) end as s
+  from worded
+), items as (select doc_id, len(s) as n, unnest(s) as x from sets
+), links as (
+  select a.doc_id as a, b.doc_id as b from items a join items b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union select r.a, l.b from reach r join links l on r.b = l.a
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(r.b) as component_id, s.doc_id = min(r.b) as kept
+from sets s join reach r on r.a = s.doc_id group by s.doc_id, s.s
+"""
+
 ORACLE["op11_fill_in_middle"] = r"""
 with drawn as (
   select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || cast(doc_id as varchar)) as h from documents

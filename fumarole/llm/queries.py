@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fumarole.llm import bpe, chat, jaccard, language, lines, merkle, middle, mixing, neighbours, orderhash, rules, substrings
+from fumarole.llm import bottomk, bpe, chat, jaccard, language, lines, merkle, middle, mixing, neighbours, orderhash, rules, substrings
 from fumarole.llm.common import held_out, stored
 from fumarole.llm.oracle import ORACLE
 
@@ -130,6 +130,11 @@ def op12_merkle_manifest(spark, sf):
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+@query
+def op13_minhash_near_dedup(spark, sf):
+    return bottomk.near_duplicates(documents(spark, sf), 4, (80, 100))
+
+
 @query
 def pipeline(spark, sf):
     import corpus_pipeline
