@@ -238,6 +238,10 @@ ORACLE: dict[str, str] = {
         from s cross join s o join p a on a.sensor_id = s.sensor_id
              left join p b on b.sensor_id = o.sensor_id and b.ts_t = a.ts_t
         group by s.sensor_id, o.sensor_id""",
+    "instant_similarity": chain(f"""select a as timestamp, {r6('avg(r)', 'instant_similarity')} from (
+        select a.ts_t as a, b.ts_t as b, {CORR.format(x="a.v", y="b.v")} as r
+        from v a join v b on a.sensor_id = b.sensor_id where a.v is not null and b.v is not null group by a.ts_t, b.ts_t)
+        group by a""", H, NORMALIZED, V_HOUR),
     "pivot_mean": f"""select ts_t as timestamp, {", ".join(
         r6(f"avg(x) filter (where sensor_id = '{s}')", s) for s in SENSORS)}
         from ({base('hour')}) group by ts_t having count(x) > 0""",

@@ -10,7 +10,7 @@ from fumarole.catalog.tables import (
     cells, event_readings, minute_of, readings, sensor_of, table, vectors,
 )
 from fumarole.functions import indexed_value, parse_instant
-from fumarole.operators import clean, cross, model, quality, quantiles, summary, windows
+from fumarole.operators import clean, cross, model, quality, quantiles, similarity, summary, windows
 from fumarole.plans import stages
 from fumarole.plans.rowindex import with_row_index
 from fumarole.plans.sizing import shared_dir, stored, stored_if_large
@@ -308,6 +308,13 @@ def correlation_matrix(spark, sf):
         .select("sensor_a", "sensor_b", r6("correlation"))
 
 
+@query
+def instant_similarity(spark, sf):
+    """Hourly cells at every scale; with gaps, hardly two instants share a mask."""
+    cells = cross.cell_means(scaled(spark, sf), "reading_normalized")
+    return similarity.instant_similarity(cells).select("timestamp", r6("instant_similarity"))
+
+
 @query
 def pivot_mean(spark, sf):
     wide = cross.pivot_mean(readings(spark, sf, "hour"), SENSORS)
