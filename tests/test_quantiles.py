@@ -59,3 +59,31 @@ def test_describe_is_the_same_at_any_size(table):
     for x, y in zip(a, b):
         assert x["feature"] == y["feature"] and x["count"] == y["count"]
         assert list(x[2:]) == pytest.approx(list(y[2:]))
+
+
+@pytest.mark.parametrize("odd", [[], [float("nan")] * 3, [float("inf")], [float("-inf"), float("inf"), float("nan"), None], [0.0, -0.0]])
+def test_describe_skips_nan_at_any_size(spark, odd):
+    x = [float(i) for i in range(10)] + odd
+    rows = spark.createDataFrame([(v, -1.0 if v is None else v) for v in x], "x double, y double")
+    small, large = (quantiles.describe(rows, ["x", "y"], small=s).orderBy("feature").collect() for s in (True, False))
+    assert repr(small) == repr(large)
+    kept = np.array([v for v in x if v is not None and not np.isnan(v)])
+    assert small[0]["count"] == len(kept)
+    for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+        at = p * (len(kept) - 1)
+        low, high = np.sort(kept)[int(np.floor(at))], np.sort(kept)[int(np.ceil(at))]
+        assert small[0][name] == (low if low == high else pytest.approx(low + (high - low) * (at % 1)))
+
+
+def test_all_columns_share_their_passes(table, monkeypatch):
+    """Passes depend on the rounds, not on the number of columns."""
+    calls = []
+    for name in ("_sketch", "_locate", "_read_brackets"):
+        real = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda *a, real=real, name=name: calls.append(name) or real(*a))
+    data = samples()
+    want = {c: x[~np.isnan(x)] for c, x in data.items() if not np.isnan(x).all()}
+    ranks = {c: ({0, len(x) // 2, len(x) - 1}, len(x)) for c, x in want.items()}
+    got = quantiles.column_order_statistics(quantiles.numbers(table, list(want)), ranks, accuracy=100, bracket_rows=300)
+    assert got == {c: {r: np.sort(want[c])[r] for r in ranks[c][0]} for c in want}
+    assert calls.count("_sketch") == calls.count("_locate") <= 2 and calls.count("_read_brackets") == 1
