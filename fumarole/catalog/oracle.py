@@ -283,3 +283,6 @@ ORACLE: dict[str, str] = {
         epoch_us(ts_t) as instant_us, {r6("embedding[4 * k + 1]", "reading_value")},
         'http_stream' as source, 'stream' as load_batch_id from ({VECTORS})""",
 }
+
+# Deliveries and batches change nothing: the same rows as in one piece.
+ORACLE["contamination_threshold_by_day"] = ORACLE["contamination_threshold"]

@@ -11,10 +11,11 @@ from fumarole.catalog.tables import (
 )
 from fumarole.functions import indexed_value, parse_instant
 from fumarole.operators import clean, cross, model, quality, quantiles, similarity, summary, windows
+from fumarole.operators.quantile_states import QuantileStates
 from fumarole.plans import stages
 from fumarole.plans.rowindex import with_row_index
 from fumarole.plans.sizing import shared_dir, stored, stored_if_large
-from fumarole.settings import SENSORS, SUMMARY_FEATURES
+from fumarole.settings import CONTAMINATION, SENSORS, SUMMARY_FEATURES
 from fumarole.sinks import write_partitioned
 from fumarole.sources import (
     feature_columns, pick_channels, positional_join, union_sources, usable_counts, wide_to_long,
@@ -348,6 +349,19 @@ def contamination_threshold(spark, sf):
     return model.flag_top(rows, "score").select(*KEY, r6("score"), "ml_anomaly")
 
 
+@query
+def contamination_threshold_by_day(spark, sf):
+    """The same flags from states per day, of days that came in four deliveries."""
+    rows = windows.z_score(windows.rolling_stats(filled(spark, sf)))
+    day = F.date_format("timestamp", "yyyy-MM-dd")
+    rows = stored(rows.select(*KEY, F.abs("z_score").alias("score"), day.alias("reading_date")), "scores")
+    states = QuantileStates(spark, scratch(spark, "states"), ["score"], [1 - CONTAMINATION])
+    for part in range(4):
+        states.add(rows.where(F.floor((F.dayofmonth("timestamp") - 1) / 8) == part))
+        cut = states.quantiles(lambda upto=part: rows.where(F.floor((F.dayofmonth("timestamp") - 1) / 8) <= upto))["score"][0]
+    return model.flag_above(rows, cut, "score").select(*KEY, r6("score"), "ml_anomaly")
+
+
 def flagged(spark, sf) -> DataFrame:
     return windows.window_features(filled(spark, sf))
 

@@ -152,7 +152,11 @@ def flag_top(
     out: str = "ml_anomaly", small: bool | None = None,
 ) -> DataFrame:
     """1 for scores strictly above the (1 - contamination) quantile of all scores."""
-    cut = exact_quantiles(df, [score], [1 - contamination], small)[score][0]
+    return flag_above(df, exact_quantiles(df, [score], [1 - contamination], small)[score][0], score, out)
+
+
+def flag_above(df: DataFrame, cut: float | None, score: str = "anomaly_score", out: str = "ml_anomaly") -> DataFrame:
+    """1 for scores strictly above ``cut``, as of an earlier table or of merged states."""
     above = F.col(score) > F.lit(cut).cast("double")
     return df.withColumn(out, F.coalesce(above, F.lit(False)).cast("int"))
 
