@@ -6,6 +6,7 @@ which are limited to MAX_RANK_BYTES; each Python worker builds the encoder once.
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,6 +21,8 @@ from fumarole.llm.common import small_batches
 MAX_RANK_BYTES = 64 << 20
 #: Longer texts go through the encoder in pieces of about so many characters.
 PIECE_CHARS = 1 << 16
+#: White space of the pattern's ``\s``, in runs that its backtracking had better not go through.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % (1 << 14))
 
 
 @lru_cache(maxsize=4)
@@ -58,10 +61,32 @@ def pieces(text: str, chars: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def matches(text: str) -> Iterator[tuple[str, bool]]:
+    """``text`` in parts, and whether a part is one match of the pattern: a long run of white space.
+
+    A run of white space starts a match. At the end of the text that is all of it; before anything
+    else the last character is left to the next match.
+    """
+    start = 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        yield text[start:run.start()], False
+        yield text[run.start():end], True
+        start = end
+    yield text[start:], False
+
+
+@lru_cache(maxsize=4)
+def whole_encoder(enc: tiktoken.Encoding) -> tiktoken.Encoding:
+    """The same ranks, with any text as one match."""
+    return tiktoken.Encoding(f"{enc.name} whole", pat_str="(?s:.+)", mergeable_ranks=enc._mergeable_ranks, special_tokens={})
+
+
 def encode(enc: tiktoken.Encoding, text: str) -> np.ndarray:
     if len(text) <= PIECE_CHARS:
         return np.array(enc.encode_ordinary(text), np.uint32)
-    return np.concatenate([np.array(enc.encode_ordinary(p), np.uint32) for p in pieces(text)])
+    parts = ([whole_encoder(enc).encode_ordinary(part)] if one else map(enc.encode_ordinary, pieces(part)) for part, one in matches(text))
+    return np.concatenate([np.array(ids, np.uint32) for part in parts for ids in part])
 
 
 def encode_texts(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
