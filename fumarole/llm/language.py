@@ -1,15 +1,16 @@
 """Language of a text by cross-parsing: how few pieces of a language's own text it is made of.
 
 For every language a suffix automaton of a bounded sample of labelled text is built. A text is
-parsed greedily into the longest pieces that occur in that sample; the phrases of the parsing,
-each worth log2 of the sample's length in bits, estimate the text's cross-entropy under the
-language. The language with the fewest bits wins. Letters count, case and all other characters
-do not: a run of other characters is one blank.
+parsed greedily into the longest pieces that occur in that sample; the phrases of the parsing
+estimate the text's cross-entropy under the language. A phrase costs the same in all languages, log2
+of the longest sample's length in bits: a language of which little was learned has short pieces and
+more phrases, and cannot make up for that by cheaper ones. The language with the fewest bits wins.
+Letters count, case and all other characters do not: a run of other characters is one blank.
 
 Every letter of the samples is a symbol of its own, whatever the number of letters and scripts;
 only letters that no sample holds are alike, and end a phrase. A language tells apart the letters
-of its own sample. A task lays its texts out as rows of CHUNK symbols and takes one symbol of all
-rows at a time through the automaton's transitions, so the parsing is a few array operations per
+of its own sample. A task lays its texts out as rows of CHUNK symbols, where a phrase ends in every
+language alike, and takes one symbol of all rows at a time through the automaton's transitions, so the parsing is a few array operations per
 symbol. Transitions are a table of states by letters, or a hash table where that would be large.
 """
 
@@ -26,6 +27,7 @@ from fumarole.llm.common import GOLDEN, small_batches
 
 #: Labelled text per language that is learned, in characters: the stated bound of the sample.
 SAMPLE_CHARS = 40_000
+#: Automata that a Python worker holds: each some 8 MB, whatever the number of letters.
 MAX_LANGUAGES = 100
 #: How much wider a share of hashes is drawn where a smaller one held too few characters.
 WIDER = 16
@@ -199,7 +201,7 @@ class Parser:
             (numbers.get(folded(c), OTHER) if c.isalpha() else BLANK for c in map(chr, range(0x110000))),
             np.min_scalar_type(self.fill), 0x110000)
         self.languages = sorted(texts)
-        self.known, self.automata, self.bits = [], [], []
+        self.known, self.automata, longest = [], [], 2
         for lang in self.languages:
             symbols = self.symbols(texts[lang])
             own = np.unique(symbols[symbols > BLANK])
@@ -210,7 +212,8 @@ class Parser:
             dense = len(steps) * width * max(8, len(texts)) <= DENSE_CELLS
             self.known.append(known)
             self.automata.append((Dense if dense else Sparse)(steps, width))
-            self.bits.append(math.log2(max(2, len(symbols))))
+            longest = max(longest, len(symbols))
+        self.bits = math.log2(longest)
 
     def symbols(self, text: str) -> np.ndarray:
         out = self.symbol[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
@@ -262,7 +265,7 @@ def _prediction_rows(samples: tuple[tuple[str, str], ...]):
             flush()
             best, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if p.languages:
-                bits = totals * np.array(p.bits)[:, None]
+                bits = totals * p.bits
                 least = bits.argmin(axis=0)
                 weight = np.exp2(-(bits - bits.min(axis=0)) * SCORE_WEIGHT).sum(axis=0)
                 best = [p.languages[k] if has else UNKNOWN for k, has in zip(least, letters)]
