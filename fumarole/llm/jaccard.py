@@ -204,6 +204,12 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return stored(before.unionByName(labels.join(known.select("node"), "node", "left_anti")), "labels")
 
 
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, n, sketch, hashes) of rows with a text and the class it is to have."""
+    return (texts.mapInArrow(_set_rows(width), "d1 long, d2 long, n long, sketch array<long>, hashes binary")
+            .select(_name().alias("node"), "n", "sketch", "hashes"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id.
 
@@ -212,7 +218,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     Exact: sets are compared as 64-bit hashes within a pair and named by 128 bits. Null or empty
     texts and texts without words have no shingles and link with nothing. Rows with equal texts get
     equal results; rows that share a doc_id count one by one, as the texts they have. A row without
-    doc_id lends no id; alone or among such rows its component_id is null.
+    doc_id links as others do but lends no id; alone or among such rows its component_id is null.
     """
     num, den = similarity
     if not 2 * num > den >= num > 0:
@@ -220,23 +226,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     node_type = "d1 long, d2 long"
     rows = stored(docs.mapInArrow(_document_rows(width), f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, n_shingles long, {node_type}"), "sets")
-    classes = rows.where("n_shingles > 0").groupBy(*NODE).agg(F.min("doc_id").alias("first"))
+    # One row stands for a class when its text is fetched again, one with a doc_id if there is any.
+    stands = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("stands")
+    classes = rows.where("n_shingles > 0").groupBy(*NODE).agg(F.min("doc_id").alias("first"), stands)
 
     keys = docs.mapInArrow(_key_rows(width, num, den), f"key long, {node_type}, upper boolean")
     same = Window.partitionBy("key")
     buckets = stored(
         keys.withColumns({"lo": F.min("d1").over(same), "hi": F.max("d1").over(same)}).where("lo <> hi")
         .select("key", *NODE, "upper").distinct(), "buckets")
-    wanted = (buckets.select(*NODE).distinct().join(classes, NODE).where("first is not null")
-              .withColumnRenamed("first", "doc_id"))
+    wanted = buckets.select(*NODE).distinct().join(classes, NODE).select(
+        *NODE, F.col("stands.doc_id").alias("id"), F.col("stands.text_hash").alias("hash"))
+    same_text = F.col("text_hash") == F.col("hash")
+    named = docs.join(wanted.where("id is not null"), (F.col("doc_id") == F.col("id")) & same_text)
+    nameless = docs.where("doc_id is null").join(wanted.where("id is null"), same_text)  # each of its copies
     sets = stored(
-        docs.join(wanted, "doc_id").mapInArrow(_set_rows(width), f"{node_type}, n long, sketch array<long>, hashes binary")
-        .select(_name().alias("node"), "n", "sketch", "hashes"), "candidates")
+        _sets(named, width).unionByName(_sets(nameless, width).dropDuplicates(["node"])), "candidates")
     buckets = stored(buckets.select("key", _name().alias("node"), "upper"), "members")
 
     labels = _classes(buckets, sets, num, den)
-    named = classes.select(_name().alias("node"), *NODE, "first")
-    whole = (named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    names = classes.select(_name().alias("node"), *NODE, "first")
+    whole = (names.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     least = whole.groupBy("label").agg(F.min("first").alias("component_id"))
     of_class = whole.join(least, "label", "left").select(*NODE, "component_id")
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(32))

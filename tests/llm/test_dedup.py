@@ -114,3 +114,13 @@ def test_window_hashes():
     h = word_hashes(b"a b c a b c".split())
     w = window_hashes(h, 3)
     assert len(w) == 4 and w[0] == w[3] and len(set(w.tolist())) == 3 and len(window_hashes(h, 7)) == 0
+
+
+def test_sets_that_only_rows_without_id_hold_carry_links(spark):
+    base = [f"w{i}" for i in range(300)]
+    near = [" ".join(base[:300 - 12 * i] + [f"v{j}" for j in range(12 * i)]) for i in range(5)]
+    rows = [(9, near[0]), (None, near[1]), (None, near[1]), (4, near[2]), (None, near[3]), (7, near[4]), (None, "q r s t u v"), (None, "q r s t u v")]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, (90, 100)).collect()
+    assert sorted((repr(r["doc_id"]), r["component_id"]) for r in found if r["n_shingles"] > 100) == [
+        ("4", 4), ("7", 4), ("9", 4), ("None", 4), ("None", 4), ("None", 4)]
+    assert [r["component_id"] for r in found if r["n_shingles"] < 100] == [None, None]
