@@ -86,7 +86,9 @@ def mix_plan(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: fl
         if level == LEVELS - 1:  # the last bucket is taken if that comes nearer
             edge = edge + F.when(F.col("edge.size") - budget < budget, 1).otherwise(0)
         plan = stored(plan.select("key", "source_size", "target", "whole", budget.alias("budget"), (F.col("threshold") + edge * width).alias("threshold")), "plan")
-    return plan.select("key", "source_size", "target", "whole", "threshold")
+    # A target of whole copies leaves nothing to take once more, not even empty texts.
+    more = F.when(F.col("target") > F.col("whole") * F.col("source_size"), F.col("threshold")).otherwise(0).alias("threshold")
+    return plan.select("key", "source_size", "target", "whole", more)
 
 
 def _copies(whole: str, threshold: str, at: Column) -> Column:

@@ -60,6 +60,16 @@ def test_mix_comes_near_its_targets(spark, odd, none):
     assert mixing.mixed(odd).columns == odd.columns and mixing.mixed(none).count() == 0
 
 
+def test_a_full_target_takes_no_empty_text_once_more(spark):
+    rows = [(i, "big", "w " * 50) for i in range(100)] + [(1000 + i, "small", "w w" if i % 10 == 0 else "") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for weights in ((1, 1000), (1000, 1)):
+        copies = {}
+        for r in mixing.mixed(docs, weights=weights).collect():
+            copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+        assert max(copies.values()) <= 3
+
+
 def plain_measures(text):
     text = text or ""
     words = text.encode().split()
