@@ -286,3 +286,7 @@ ORACLE: dict[str, str] = {
 
 # Deliveries and batches change nothing: the same rows as in one piece.
 ORACLE["contamination_threshold_by_day"] = ORACLE["contamination_threshold"]
+ORACLE["stream_upsert_readings"] = ORACLE["dedup_keep_last"]
+ORACLE["stream_alerts_by_batches"] = ORACLE["alerts"]
+ORACLE["stream_rolling_by_batches"] = chain(f"""select {KEY}, {r6('x', 'reading_value')}, {r6_all(WINDOW_COLUMNS)},
+    is_imputed, peak_frequency, anomaly_flag from g""", *WINDOWED)

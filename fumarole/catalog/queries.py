@@ -21,7 +21,8 @@ from fumarole.sources import (
     feature_columns, pick_channels, positional_join, union_sources, usable_counts, wide_to_long,
 )
 from fumarole.streaming import (
-    current_readings, ingest_messages, message_stream, rolling_batches, stream_alerts, stream_dedup,
+    current_readings, flush_rolling, ingest_messages, message_stream, rolling_batches, stream_alerts,
+    stream_dedup, upsert_batches, upserted,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -461,6 +462,14 @@ def wall_clock(c: str = "timestamp") -> Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
+def landed(spark, rows: DataFrame, part: Column, parts: int, name: str) -> DataFrame:
+    """``rows`` as a stream of files, written one after the other by ``part``, one to a micro-batch."""
+    path = scratch(spark, name)
+    for k in range(parts):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def streamed_features(spark, sf) -> DataFrame:
     target = scratch(spark, "rolling")
     readings = event_stream(spark, sf, None)
@@ -482,6 +491,40 @@ def stream_alert_feed(spark, sf):
     return out.select("sensor_id", wall_clock(), r6("reading_value"), r6("z_score"), "alert")
 
 
+def batched_features(spark, sf) -> DataFrame:
+    """Unique readings of five spans of days, gaps filled as in batch; what waits at the end is flushed."""
+    target, checkpoint = scratch(spark, "rolling"), scratch(spark, "rolling-checkpoint")
+    rows = deduped(spark, sf).select(*KEY, "reading_value").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows = stored(rows, "unique")
+    stream = landed(spark, rows, F.least(F.floor((F.dayofmonth("timestamp") - 1) / 6), F.lit(4)), 5, "spans")
+    rolling_batches(stream, target, checkpoint).awaitTermination()
+    flush_rolling(spark, target, checkpoint)
+    return spark.read.parquet(target)
+
+
+@query
+def stream_rolling_by_batches(spark, sf):
+    return batched_features(spark, sf).select(
+        "sensor_id", wall_clock(), r6("reading_value"), *[r6(c) for c in WINDOW_COLUMNS],
+        "is_imputed", "peak_frequency", "anomaly_flag")
+
+
+@query
+def stream_alerts_by_batches(spark, sf):
+    out = stream_alerts(batched_features(spark, sf))
+    return out.select("sensor_id", wall_clock(), r6("reading_value"), r6("z_score"), "alert")
+
+
+@query
+def stream_upsert_readings(spark, sf):
+    """Keep-last over five micro-batches that hold rows of the same keys."""
+    rows = readings(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    target = scratch(spark, "upserted")
+    stream = landed(spark, rows, F.pmod(F.xxhash64("seq"), F.lit(5)), 5, "arrivals")
+    upsert_batches(stream, target, scratch(spark, "upsert-checkpoint"), buckets=2).awaitTermination()
+    return upserted(spark, target, rows.schema).select("sensor_id", wall_clock(), r6("reading_value"), "seq")
+
+
 @query
 def stream_dedup_keys(spark, sf):
     out = drained(spark, stream_dedup(event_stream(spark, sf, "minute").select(*KEY)), "dedup")

@@ -14,6 +14,7 @@ from fumarole.operators.windows import sliding_window_aggregates, window_feature
 from fumarole.plans.sizing import stored_if_large
 from fumarole.schema import CORRUPT
 from fumarole.settings import N_CHANNELS, SENSORS
+from fumarole.sinks import versions
 from fumarole.sinks import (
     as_stored, save_model, save_table, write_csv, write_json, write_parquet, write_partitioned,
 )
@@ -67,16 +68,20 @@ class Layers:
     model: str
     report: str
     windows: str
+    raw_csv: str
+    curated_csv: str
 
 
 def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: int = N_CHANNELS,
-        tables: bool = False, strict: bool = True, bad: DataFrame | None = None) -> Layers:
+        tables: bool = False, strict: bool = True, bad: DataFrame | None = None, csv: bool = False) -> Layers:
     """Run every stage. A stage reads what the stage before stored, so none is computed twice.
 
     Data that fails the quality rules is not published: with ``strict`` the job ends after the
     report, and earlier partitions, alerts and tables stay as they are. ``bad``, the malformed
     lines of ``load_with_bad``, goes to the quarantine beside the raw layer; the report has their
-    number, null where ``bad`` is not given.
+    number, null where ``bad`` is not given. The partitions are a new version of ``partitioned``: who
+    reads them through ``versions.read_current`` sees the old ones or the new ones, never a part.
+    ``csv`` writes the raw and the curated readings as CSV too.
     """
     spark = raw.sparkSession
     at = Layers(**{name: f"{out}/{name}" for name in Layers.__dataclass_fields__})
@@ -104,9 +109,12 @@ def run(raw: DataFrame, out: str, order=("priority", "seq"), expected_sensors: i
     write_json(result.withColumn("quarantined_lines", F.lit(n_bad).cast("long")), at.report)
     if strict:
         quality.enforce(spark.read.json(at.report))
-    write_partitioned(final, at.partitioned)
+    at.partitioned = versions.replace(spark, at.partitioned, lambda path: write_partitioned(final, path))
     found = model.alerts(final)
     write_csv(found.withColumn("timestamp", utc_text(F.col("timestamp"))), at.alerts)
+    if csv:
+        for rows, path in ((raw, at.raw_csv), (final, at.curated_csv)):
+            write_csv(rows.withColumns({c: utc_text(F.col(c)) for c, kind in rows.dtypes if kind == "timestamp"}), path)
     if tables:
         save_table(raw, "sensor_readings_raw")
         save_table(final, "sensor_readings_curated")

@@ -41,11 +41,13 @@ def ingest_messages(
             F.col("_metadata.file_block_start").alias("split_at"),
             F.monotonically_increasing_id().alias("line"),
         )
+        rows = rows.persist()  # the JSON is parsed once
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, "path", "line")
         bad.write.mode("overwrite").parquet(f"{target}/quarantine/batch_no={number}")
         good = message_frame(rows, channels)
         long = wide_to_long(good, batch_id, channels, keep=ARRIVAL)
         long.write.mode("overwrite").parquet(f"{target}/readings/batch_no={number}")
+        rows.unpersist()
 
     return (
         messages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
