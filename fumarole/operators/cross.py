@@ -1,6 +1,6 @@
 """Features across sensors: per-instant correlation and mean, correlation matrix, pivot."""
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fumarole.functions import co_correlation, guarded_corr
-from fumarole.plans.sizing import lookup, salted_join, small_side
+from fumarole.plans.sizing import lookup, salted_join, small_side, stored
 from fumarole.settings import SENSOR, TIME, VALUE
 
 NORMALIZED = "reading_normalized"
 MOMENTS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+#: Readings that a task holds as a dense matrix, about.
+BLOCK_READINGS = 4_000_000
 
 
 def cell_means(df: DataFrame, value: str) -> DataFrame:
@@ -65,24 +67,29 @@ def pivot_mean(df: DataFrame, sensors: list[str], value: str = VALUE) -> DataFra
     return wide.where(F.coalesce(*[F.col(f"`{s}`") for s in sensors]).isNotNull())
 
 
-def correlation_matrix(df: DataFrame, value: str = VALUE, tile: int = 256) -> DataFrame:
+def correlation_matrix(df: DataFrame, value: str = VALUE, tile: int = 256, block_rows: int = BLOCK_READINGS) -> DataFrame:
     """Pairwise-complete Pearson correlation of every two sensors over the instants.
 
-    Every task reduces its instants to one small matrix of moments, so nothing is
-    emitted per pair and instant. Many sensors are taken ``tile`` columns at a time.
+    Sensors are dealt into tiles of about ``tile`` and instants into blocks. A reading goes to every
+    pair of tiles that its own belongs to, in one shuffle by (tile, tile, block); each such group is a
+    dense matrix that is reduced to moments of its pairs, and these are summed. Nothing is emitted
+    per pair and instant, there is no self join, and the names of sensors stay where they are.
+    Several readings of a sensor and instant count as their mean.
     """
     x = F.col(value).cast("double")
-    means = df.groupBy(SENSOR).agg(F.avg(x).alias("_mean"))
-    sensors = [r[0] for r in means.select(SENSOR).where(F.col(SENSOR).isNotNull()).orderBy(SENSOR).collect()]
+    means = df.where(F.col(SENSOR).isNotNull()).groupBy(SENSOR).agg(F.avg(x).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    means = stored(means, "sensor_means")
+    size = means.agg(F.count(F.lit(1)).alias("sensors"), F.sum("_n").alias("rows")).first()
+    tiles = max(1, math.ceil(size["sensors"] / tile))
+    blocks = max(1, math.ceil(2 * (size["rows"] or 0) / tiles / block_rows))
     # Centring first keeps the sums of squares exact enough to subtract.
-    centred = lookup(df.select(TIME, SENSOR, x.alias("_x")), means, [SENSOR])
-    centred = centred.select(TIME, SENSOR, (F.col("_x") - F.col("_mean")).alias(value))
-    tiles = [sensors[i:i + tile] for i in range(0, len(sensors), tile)] or [[]]
-    sums = None
-    for i, left in enumerate(tiles):
-        for right in tiles[i:]:
-            part = _tile_moments(centred, value, left, right)
-            sums = part if sums is None else sums.unionByName(part)
+    own = F.pmod(F.xxhash64(SENSOR), F.lit(tiles)).cast("int")
+    centred = lookup(df.where(F.col(SENSOR).isNotNull()).select(TIME, SENSOR, x.alias("_x")), means.select(SENSOR, "_mean"), [SENSOR]).select(
+        F.col(TIME).alias("instant"), F.col(SENSOR).alias("sensor"), (F.col("_x") - F.col("_mean")).alias("x"), own.alias("own"),
+        F.pmod(F.xxhash64(TIME), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("other"))
+    dealt = centred.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
+    schema = "sensor_a string, sensor_b string, " + ", ".join(f"{c} double" for c in MOMENTS)
+    sums = dealt.groupBy("p", "q", "block").applyInPandas(_moments, schema)
     pairs = sums.groupBy("sensor_a", "sensor_b").agg(*[F.sum(c).alias(c) for c in MOMENTS])
     pairs = pairs.withColumn("correlation", co_correlation(*[F.col(c) for c in MOMENTS]))
     a, b, r = F.col("sensor_a"), F.col("sensor_b"), F.col("correlation")
@@ -91,30 +98,26 @@ def correlation_matrix(df: DataFrame, value: str = VALUE, tile: int = 256) -> Da
     return pairs.select(F.inline(F.when(a == b, one).otherwise(both)))
 
 
-def _tile_moments(df: DataFrame, value: str, left: list[str], right: list[str]) -> DataFrame:
-    columns = list(dict.fromkeys(left + right))
-    wide = pivot_mean(df, columns, value).select(*[F.col(f"`{c}`") for c in columns])
-
-    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for batch in batches:
-            x = batch.to_numpy("float64", na_value=np.nan)
-            there = ~np.isnan(x)
-            x, m = np.where(there, x, 0.0), there.astype("float64")
-            part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
-            total = part if total is None else total + part
-        if total is None:
-            return
-        a = np.repeat([columns.index(c) for c in left], len(right))
-        b = np.tile([columns.index(c) for c in right], len(left))
-        if left is right:
-            a, b = a[a <= b], b[a <= b]
-        n, s, ss, xy = total
-        names = np.array(columns, dtype=object)
-        yield pd.DataFrame({
-            "sensor_a": names[a], "sensor_b": names[b], "n": n[a, b], "sx": s[a, b], "sy": s[b, a],
-            "sxx": ss[a, b], "syy": ss[b, a], "sxy": xy[a, b],
-        })
-
-    schema = "sensor_a string, sensor_b string, " + ", ".join(f"{c} double" for c in MOMENTS)
-    return wide.mapInPandas(moments, schema)
+def _moments(rows: pd.DataFrame) -> pd.DataFrame:
+    """Moments of the pairs of sensors between two tiles, over the instants of a block."""
+    at, _ = pd.factorize(rows["instant"], use_na_sentinel=False)
+    column, names = pd.factorize(rows["sensor"], sort=True)
+    x, shape = rows["x"].to_numpy("float64", na_value=np.nan), (at.max() + 1, len(names))
+    held = ~np.isnan(x)
+    count, total = np.zeros(shape), np.zeros(shape)
+    np.add.at(count, (at[held], column[held]), 1.0)
+    np.add.at(total, (at[held], column[held]), x[held])
+    m = (count > 0).astype("float64")
+    x = np.divide(total, count, out=np.zeros(shape), where=count > 0)
+    n, s, ss, xy = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+    a, b = np.triu_indices(len(names))
+    p, q = rows["p"].iloc[0], rows["q"].iloc[0]
+    if p != q:  # pairs within a tile are taken where it meets itself
+        tile = np.zeros(len(names), "int64")
+        tile[column] = rows["own"].to_numpy()
+        a, b = a[(across := tile[a] != tile[b])], b[across]
+    names = np.array(names, dtype=object)
+    return pd.DataFrame({
+        "sensor_a": names[a], "sensor_b": names[b], "n": n[a, b], "sx": s[a, b], "sy": s[b, a],
+        "sxx": ss[a, b], "syy": ss[b, a], "sxy": xy[a, b],
+    })

@@ -113,3 +113,20 @@ def test_sensors_that_never_meet(spark):
     out = cross.correlation_matrix(matrix(spark, x))
     pair = out.where("sensor_a = 'S01' and sensor_b = 'S02'").first()
     assert pair["correlation"] is None and out.count() == 25
+
+
+@pytest.mark.parametrize("tile, block_rows", [(3, 60), (1, 40), (256, 25)])
+def test_matrix_by_tiles_and_blocks(spark, tile, block_rows):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 11)) + rng.normal(size=(90, 1))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:, 4] = 2.5
+    df = matrix(spark, x)
+    twice = df.unionByName(df.where(F.col("reading_value") > 0))  # a cell's mean stays what it is
+    got = {(r[0], r[1]): r[2] for r in cross.correlation_matrix(twice, tile=tile, block_rows=block_rows).collect()}
+    names = sorted({a for a, _ in got})
+    want = pd.DataFrame(x, columns=names).corr().to_numpy()
+    assert len(got) == len(names) ** 2
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            assert got[a, b] is None if np.isnan(want[i, j]) else got[a, b] == pytest.approx(want[i, j], abs=1e-9)
