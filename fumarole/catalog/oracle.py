@@ -290,3 +290,8 @@ ORACLE["stream_upsert_readings"] = ORACLE["dedup_keep_last"]
 ORACLE["stream_alerts_by_batches"] = ORACLE["alerts"]
 ORACLE["stream_rolling_by_batches"] = chain(f"""select {KEY}, {r6('x', 'reading_value')}, {r6_all(WINDOW_COLUMNS)},
     is_imputed, peak_frequency, anomaly_flag from g""", *WINDOWED)
+ORACLE["stream_scored_readings"] = chain(f"""select m.sensor_id, m.ts_t as timestamp, {r6('m.norm', 'reading_normalized')},
+    {r6('i.sensor_correlation', 'sensor_correlation')}, {r6('i.gas_concentration_est', 'gas_concentration_est')}
+    from m join i using (ts_t)""", *HOURLY)
+ORACLE["recent_rule_alerts_top100"] = chain(f"""select {KEY}, {r6('x', 'reading_value')}, {r6('z_score')},
+    'SENSOR_ANOMALY' as alert from g where anomaly_flag = 1 order by ts_t desc, sensor_id limit 100""", RAW, FEATURES, SCORED, FLAGGED)

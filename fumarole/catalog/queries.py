@@ -21,8 +21,8 @@ from fumarole.sources import (
     feature_columns, pick_channels, positional_join, union_sources, usable_counts, wide_to_long,
 )
 from fumarole.streaming import (
-    current_readings, flush_rolling, ingest_messages, message_stream, rolling_batches, stream_alerts,
-    stream_dedup, upsert_batches, upserted,
+    current_readings, flush_rolling, ingest_messages, message_stream, rolling_batches, score_batches,
+    stream_alerts, stream_dedup, update_statistics, upsert_batches, upserted,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +374,30 @@ def alerts(spark, sf):
     return rows.select("timestamp", "sensor_id", r6("reading_value"), r6("z_score"), "alert")
 
 
+def model_flagged(spark, sf) -> DataFrame:
+    rows = stored(feature_rows(spark, sf), "features")
+    return model.flag_top(stored(model.score_iforest(rows, model.fit_iforest(rows)), "scored"))
+
+
+@query
+def model_alerts(spark, sf):
+    """The alert table as it is saved: rows that the forest flags, with their scores."""
+    return model.alerts(model_flagged(spark, sf))
+
+
+@query
+def recent_model_alerts_top100(spark, sf):
+    return summary.recent_alerts(model.alerts(model_flagged(spark, sf)))
+
+
+@query
+def recent_rule_alerts_top100(spark, sf):
+    """The newest of the alerts of every reading on its own, gaps not filled."""
+    rows = windows.window_features(readings(spark, sf, None))
+    found = model.alerts(rows, "anomaly_flag", ["timestamp", "sensor_id", "reading_value", "z_score"])
+    return summary.recent_alerts(found).select("timestamp", "sensor_id", r6("reading_value"), r6("z_score"), "alert")
+
+
 @query
 def recent_alerts_top100(spark, sf):
     events = table(spark, sf, "events").where(F.col("event_type") == "error")
@@ -515,6 +539,20 @@ def stream_alerts_by_batches(spark, sf):
     return out.select("sensor_id", wall_clock(), r6("reading_value"), r6("z_score"), "alert")
 
 
+@query
+def stream_scored_readings(spark, sf):
+    """Hourly cells in four spans of days, scaled and correlated under statistics that grew in two steps."""
+    rows = deduped(spark, sf, "hour").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows = stored(rows.select(*KEY, "reading_value"), "hours")
+    folder, target = scratch(spark, "statistics"), scratch(spark, "scored")
+    for early in (True, False):
+        update_statistics(spark, folder, rows.where((F.dayofmonth("timestamp") <= 20) == early))
+    stream = landed(spark, rows, F.floor((F.dayofmonth("timestamp") - 1) / 8), 4, "hours-landed")
+    score_batches(stream, folder, target, scratch(spark, "scored-checkpoint")).awaitTermination()
+    return spark.read.parquet(target).select(
+        "sensor_id", wall_clock(), r6("reading_normalized"), r6("sensor_correlation"), r6("gas_concentration_est"))
+
+
 @query
 def stream_upsert_readings(spark, sf):
     """Keep-last over five micro-batches that hold rows of the same keys."""

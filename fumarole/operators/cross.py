@@ -22,11 +22,11 @@ def cell_means(df: DataFrame, value: str) -> DataFrame:
     return df.groupBy(TIME, SENSOR).agg(F.avg(F.col(value).cast("double")).alias(value))
 
 
-def _instants(df: DataFrame, value: str) -> tuple[DataFrame, bool]:
+def _instants(df: DataFrame, value: str, levels: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Per-instant features, and whether the sensors are few enough to bound an instant's rows."""
     x = F.col(value).cast("double")
     rows = df.select(TIME, SENSOR, x.alias("_x"))
-    means = rows.groupBy(SENSOR).agg(F.avg("_x").alias("_mean"))
+    means = rows.groupBy(SENSOR).agg(F.avg("_x").alias("_mean")) if levels is None else levels
     side = small_side(means)
     joined = salted_join(rows, means, [SENSOR]) if side is None else rows.join(side, SENSOR, "left")
     out = joined.groupBy(TIME).agg(
@@ -53,9 +53,12 @@ def gas_estimate(df: DataFrame, value: str = NORMALIZED) -> DataFrame:
     return df.groupBy(TIME).agg(mean.alias("gas_concentration_est"))
 
 
-def cross_features(df: DataFrame, value: str = NORMALIZED) -> DataFrame:
-    """Both per-instant features on every row of the instant."""
-    instants, few = _instants(df, value)
+def cross_features(df: DataFrame, value: str = NORMALIZED, levels: DataFrame | None = None) -> DataFrame:
+    """Both per-instant features on every row of the instant.
+
+    ``levels`` may give the sensors' mean levels (_mean), as of a longer history.
+    """
+    instants, few = _instants(df, value, levels)
     instants = instants.drop("_n")
     # An instant has at most one row per sensor: with the sensors bounded, so is a join key.
     return df.join(instants, TIME, "left") if few else salted_join(df, instants, [TIME])

@@ -160,3 +160,20 @@ def test_raw_files_to_features(spark, tmp_path):
     assert len(rows) == 51
     assert [r["reading_value"] for r in rows[:6]] == [100, 101, 102, 2, 2, 105]
     assert rows[4]["is_imputed"] == 1 and rows[50]["reading_value"] == 7
+
+
+def test_csv_layers_and_new_partitions_beside_old_ones(spark, tmp_path):
+    raw = sources.wide_to_long(wide(spark, 60), "b").withColumns({"priority": F.lit(0), "seq": F.lit(0)})
+    out = str(tmp_path / "out")
+    first = stages.run(raw, out, csv=True)
+    before = sinks.versions.read_current(spark, f"{out}/partitioned")
+    n = before.count()
+    for path in (first.raw_csv, first.curated_csv):
+        assert spark.read.option("header", True).csv(path).count() == n == 60 * 16
+    bad = raw.where("sensor_id <> 'S16'")
+    with pytest.raises(ValueError, match="consistency"):
+        stages.run(bad, out)
+    assert sinks.versions.current(spark, f"{out}/partitioned") == first.partitioned
+    again = stages.run(raw, out)
+    assert again.partitioned != first.partitioned and before.count() == n
+    assert sinks.versions.read_current(spark, f"{out}/partitioned").count() == n

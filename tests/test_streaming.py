@@ -174,3 +174,46 @@ def test_stream_dedup_keeps_one_row_per_key(spark, tmp_path):
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     out = drain(spark, streaming.stream_dedup(source, "2 hours"), tmp_path / "out")
     assert out.count() == len(pdf) == out.select("sensor_id", "timestamp").distinct().count()
+
+
+@pytest.mark.parametrize("max_gap", [0, 3])
+def test_flush_ends_the_series(spark, tmp_path, max_gap):
+    """What waits, as readings younger than the delay and open runs, comes with a flush, and again in the next batch."""
+    pdf = series(n=200)
+    pdf.loc[pdf.timestamp >= START + pd.to_timedelta(198, unit="min"), "reading_value"] = np.nan
+    whole = spark.createDataFrame(pdf).withColumn("reading_value", F.nanvl("reading_value", F.lit(None).cast("double")))
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def run(upto):
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        streaming.rolling_batches(source, target, checkpoint, delay_seconds=300, max_gap=max_gap).awaitTermination()
+        streaming.flush_rolling(spark, target, checkpoint, max_gap=max_gap)
+        rows = whole.where(F.col("timestamp") < F.lit(START + pd.to_timedelta(upto, unit="min")))
+        batch = windows.window_features(clean.gap_fill_short(rows, max_gap) if max_gap else rows.withColumn("is_imputed", F.lit(0)))
+        columns = ["sensor_id", "timestamp", "reading_value", "is_imputed", "rolling_avg", "z_score", "anomaly_flag"]
+        got, want = (sorted(map(tuple, df.select(*columns).collect()), key=lambda r: r[:2]) for df in (spark.read.parquet(target), batch))
+        assert len(got) == len(want) == upto * 3
+        for a, b in zip(got, want):
+            assert a[:2] == b[:2] and a[3] == b[3] and a[6] == b[6]
+            assert [a[2], a[4], a[5]] == pytest.approx([b[2], b[4], b[5]], nan_ok=True)
+
+    for first, last in ((0, 40), (40, 80), (80, 120), (120, 160), (160, 200)):
+        part = pdf[(pdf.timestamp >= START + pd.to_timedelta(first, unit="min")) & (pdf.timestamp < START + pd.to_timedelta(last, unit="min"))]
+        schema = land(spark, tmp_path / "in", [part])
+        if last in (80, 120, 200):
+            run(last)
+    states = [d for d in (tmp_path / "ck" / "carried").iterdir() if d.name.isdigit()]
+    assert len(states) == 2
+
+
+def test_flush_of_silent_sensors_only(spark, tmp_path):
+    pdf = series(n=100, sensors=2)
+    pdf = pdf[(pdf.sensor_id == "S01") | (pdf.timestamp < START + pd.to_timedelta(50, unit="min"))]
+    schema = land(spark, tmp_path / "in", [pdf])
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    streaming.rolling_batches(source, target, checkpoint, delay_seconds=300).awaitTermination()
+    before = {r[0]: r[1] for r in spark.read.parquet(target).groupBy("sensor_id").count().collect()}
+    streaming.flush_rolling(spark, target, checkpoint, silent_seconds=600)
+    after = {r[0]: r[1] for r in spark.read.parquet(target).groupBy("sensor_id").count().collect()}
+    assert before["S02"] < after["S02"] == 50 and after["S01"] == before["S01"] < 100
