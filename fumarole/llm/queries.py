@@ -90,7 +90,7 @@ def op9_quality_rules(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     sample = rules.text_measures(rules.some_rows(docs))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = rules.cascade(rules.text_measures(docs).withColumn("base_failed", failed), rules.standard_rules(), sample)
+    judged = rules.cascade(rules.text_measures(docs).withColumn("base_failed", failed), rules.standard_rules(), sample, costs=rules.standard_costs())
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -1,24 +1,26 @@
 """Quality rules as a cascade that asks cheap and telling rules first.
 
-A sample tells what each rule costs and how many rows it rejects. The rules are then asked in the
-order of rejections per cost, and a rejected row is asked no further: one nested CASE, of which
-Spark evaluates a branch only where those before it did not hold. The verdict does not depend on
-the order. Spark expressions only.
+A sample tells what each rule costs and how many rows it rejects. Cost is what the rule reads of the
+sampled rows, in characters, weighted by how they are read; unlike seconds, that is the same each time
+and on any machine. The rules are then asked in the order of rejections per cost, and a rejected row is
+asked no further: one nested CASE, of which Spark evaluates a branch only where those before it did
+not hold. The verdict does not depend on the order. Spark expressions only.
 """
 
-import time
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fumarole.llm.common import WORD, fresh, stored
+from fumarole.llm.common import WORD, fresh
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Words of a window whose repetition counts.
 WINDOW = 5
 SAMPLE_ROWS = 2000
+#: What a character costs a regular expression, where one that is only counted costs 1.
+BY_PATTERN = 10
 
 
 def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -65,19 +67,18 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         .select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in measures), taken))
 
 
-def rule_order(sample: DataFrame, rules: Mapping[str, Column], runs: int = 2) -> list[str]:
-    """Names of ``rules`` by rejected rows per second, the most first, as measured on ``sample``."""
-    def seconds(c: Column) -> tuple[float, int]:
-        best = float("inf")
-        for _ in range(runs):
-            began = time.perf_counter()
-            rejected = sample.agg(F.count(F.when(c, 1))).first()[0]
-            best = min(best, time.perf_counter() - began)
-        return best, rejected
+def rule_order(sample: DataFrame, rules: Mapping[str, Column], costs: Mapping[str, Column] | None = None) -> list[str]:
+    """Names of ``rules`` by rejected rows per cost on ``sample``, the most first, equal ones by name.
 
-    idle = seconds(F.lit(False))[0]
-    measured = {name: seconds(rule) for name, rule in rules.items()}
-    return sorted(rules, key=lambda name: (-measured[name][1] / max(measured[name][0] - idle, 1e-4), name))
+    ``costs`` maps names to what a row costs its rule, in characters read; others cost 1, as rules on
+    numbers do. One aggregation; null costs count as 1.
+    """
+    costs = costs or {}
+    rejected = [F.count(F.when(rule, 1)).alias(f"rejected_{i}") for i, rule in enumerate(rules.values())]
+    spent = [F.sum(F.greatest(F.coalesce(costs.get(name, F.lit(1)), F.lit(1)), F.lit(1))).alias(f"spent_{i}") for i, name in enumerate(rules)]
+    row = sample.agg(*rejected, *spent).first()
+    worth = {name: row[f"rejected_{i}"] / (row[f"spent_{i}"] or 1) for i, name in enumerate(rules)}
+    return sorted(rules, key=lambda name: (-worth[name], name))
 
 
 def some_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -86,15 +87,16 @@ def some_rows(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return docs.sample(share, seed=0).limit(2 * rows)
 
 
-def cascade(docs: DataFrame, rules: Mapping[str, Column], sample: DataFrame, verdict: str = "kept") -> DataFrame:
+def cascade(docs: DataFrame, rules: Mapping[str, Column], sample: DataFrame, verdict: str = "kept",
+            costs: Mapping[str, Column] | None = None) -> DataFrame:
     """``docs`` with ``verdict``: true where none of ``rules`` holds; a rule that is null holds not.
 
-    ``rules`` maps names to conditions that reject a row. Cost and selectivity are those on
+    ``rules`` maps names to conditions that reject a row, ``costs`` see ``rule_order``. Cost and selectivity are those on
     ``sample``, rows with the columns that the rules read; they decide the order of the rules and
-    nothing else, so an empty table and repeated rows are fine. The sample is stored once.
+    nothing else, so an empty table and repeated rows are fine.
     """
     kept = F.lit(True)
-    for name in reversed(rule_order(stored(sample, "rule-sample"), rules)):
+    for name in reversed(rule_order(sample, rules, costs)):
         kept = F.when(rules[name], F.lit(False)).otherwise(kept)
     return docs.withColumn(verdict, kept)
 
@@ -117,3 +119,10 @@ def standard_rules(text: str = "text") -> dict[str, Column]:
         "exclamations": 10 * F.regexp_count(whole, F.lit(r"[!?]{2}")) > F.col("n_words"),
         "few letters": 2 * letters < F.col("word_chars"),
     }
+
+
+def standard_costs(text: str = "text") -> dict[str, Column]:
+    """What ``standard_rules`` read of a row; those that are not here read numbers only."""
+    chars = F.length(F.coalesce(F.col(text), F.lit("")))
+    characters = (2 + BY_PATTERN) * chars  # two lengths and a pattern
+    return {"shouting": 2 * characters, "few letters": characters, "exclamations": BY_PATTERN * chars}

@@ -100,6 +100,17 @@ def test_measures_and_cascade(spark, odd, none):
     assert rules.cascade(empty, all_, empty).count() == 0
 
 
+def test_rules_keep_their_order(spark):
+    """Ten calls on one sample, dealt out anew each time, and an order that the figures alone explain."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sample, all_, costs = rules.text_measures(rules.some_rows(docs, 300)).cache(), rules.standard_rules(), rules.standard_costs()
+    orders = {tuple(rules.rule_order(sample.repartition(n), all_, costs)) for n in range(1, 11)}
+    assert len(orders) == 1 and set(costs) <= set(all_)
+    rows = sample.select("*", *(c.alias(f"r {k}") for k, c in all_.items()), *(c.alias(f"c {k}") for k, c in costs.items())).collect()
+    worth = {k: sum(bool(r[f"r {k}"]) for r in rows) / sum(max(1, r[f"c {k}"]) if k in costs else 1 for r in rows) for k in all_}
+    assert orders == {tuple(sorted(all_, key=lambda k: (-worth[k], k)))}
+
+
 def prints(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
     return [r["fingerprint"] for r in orderhash.fingerprints(rows, "text").orderBy("k").collect()]
