@@ -11,6 +11,9 @@ from fumarole.settings import (
     FIRST_INSTANT, GAS_TYPE, N_CHANNELS, SENSORS, TARGET_NAMES, UNIT,
 )
 
+#: Rows in which a column is first looked for a number.
+FIRST_ROWS = 1000
+
 
 def feature_columns(df: DataFrame, targets=TARGET_NAMES) -> list[str]:
     return [c for c in df.columns if c.lower() not in targets]
@@ -23,10 +26,20 @@ def usable_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     columns; the counts are summed before anything is shuffled.
     """
     texts = [F.expr(f"cast(`{c}` as string) as `{c}`") for c in columns]
-    cells = df.select(*texts).unpivot([], list(columns), "column_name", "cell")
+    cells = df.select(*texts).unpivot([], [F.col(f"`{c}`") for c in columns], "column_name", "cell")
     return cells.groupBy("column_name").agg(F.count(indexed_value(F.col("cell"))).alias("n_usable"))
 
 
+def usable_names(df: DataFrame, columns: list[str], first_rows: int = FIRST_ROWS) -> set[str]:
+    """Columns with a number in any cell: most show one in the first rows, only the others are read whole."""
+    def found(rows: DataFrame, of: list[str]) -> set[str]:
+        return {r["column_name"] for r in usable_counts(rows, of).where("n_usable > 0").collect()}
+
+    seen = found(df.select(*(F.col(f"`{c}`") for c in columns)).limit(first_rows), columns) if columns else set()
+    rest = [c for c in columns if c not in seen]
+    return seen | found(df, rest) if rest else seen
+
+
 def channel_starts(n: int, channels: int = N_CHANNELS) -> list[int]:
     """First column of each channel when ``n`` columns are dealt into even blocks."""
     size, extra = divmod(n, channels)
@@ -35,7 +48,7 @@ def channel_starts(n: int, channels: int = N_CHANNELS) -> list[int]:
 
 def pick_channels(df: DataFrame, columns: list[str], names=tuple(SENSORS)) -> dict[str, Column]:
     """The first usable column of every channel block as a finite number."""
-    usable = {r["column_name"] for r in usable_counts(df, columns).where("n_usable > 0").collect()}
+    usable = usable_names(df, columns)
     kept = [c for c in columns if c in usable]
     if len(kept) < len(names):
         raise ValueError(f"{len(kept)} usable numeric columns, at least {len(names)} are needed")

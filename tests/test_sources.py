@@ -12,6 +12,7 @@ from fumarole.functions import finite, indexed_value, parse_instant, weekend
 from fumarole.plans import sizing
 from fumarole.plans.rowindex import with_row_index
 from fumarole.settings import SENSORS
+from fumarole.sources import reshape
 
 
 def cells(spark, values):
@@ -184,3 +185,14 @@ def test_instants_and_weekend(spark):
     assert got == [1735984800000, 1735984800250, 1735948800000, 1735992000000, 1735984800000, 1741487400000]
     days = spark.sql("select timestamp_ntz'2025-01-04 00:00:00' a, timestamp_ntz'2025-01-06 00:00:00' b")
     assert days.select(weekend(F.col("a")), weekend(F.col("b"))).first()[:] == (1, 0)
+
+
+def test_columns_that_show_a_number_late_are_found(spark, monkeypatch):
+    rows = [(str(i), "x", "7:1.5" if i == 4000 else "none", None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a string, b string, `c.d` string, e string").repartition(5)
+    read = []
+    real = reshape.usable_counts
+    monkeypatch.setattr(reshape, "usable_counts", lambda part, of: read.append(list(of)) or real(part, of))
+    assert reshape.usable_names(df, df.columns) == {"a", "c.d"}
+    assert read[0] == df.columns and "a" not in read[1] and len(read) == 2
+    assert reshape.usable_names(df.select("a"), ["a"]) == {"a"} and len(read) == 3
