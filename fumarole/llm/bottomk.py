@@ -11,10 +11,12 @@ into a list only for a document that is made of them.
 
 Only classes of equal sets enter the lists. A list is never taken pair by pair at first: its members
 meet one centre, each the one that it meets most often; links join classes, and lists that still hold
-several classes meet another centre. What is left when that makes no more headway is compared within
-its lists, where a pair goes on from one list or two, not from every list that it shares, and only if
-the retained values in common suffice. A pair counts if the K least hashes of the union of both
-sketches hold enough common ones, and then if the full sets are alike.
+several classes meet another centre, but for a list of two whose members have met. What is left when
+that makes no more headway is compared within its lists. A pair goes on from a list only if enough
+retained values come after the list's in both orders, and if the Hamming distance of the parity
+sketches of the full sets, which is never above their symmetric difference, allows a link. It counts
+if the K least hashes of the union of both sketches hold enough common ones, and then if the full
+sets are alike.
 
 Sets are not sent along with every pair. Classes that met the same centre are a family, and a family
 is dealt into blocks of bounded size; the pairs between two blocks are checked together, so a set
@@ -22,7 +24,7 @@ travels once for each block that its family has.
 """
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import comb
 
 import numpy as np
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fumarole.llm.common import small_batches, stored
-from fumarole.llm.jaccard import components, digest, shingle_set
+from fumarole.llm.jaccard import PARITY_BITS, components, digest, parity_sketch, shingle_set
 from fumarole.plans.sizing import small_side
 
 #: Values that every class retains, and those of the classes that have enough of these in common with others.
@@ -42,6 +44,8 @@ ERROR = 1e-12
 STARS, MOST_STARS = 2, 8
 #: What a block of a family holds at most, about: bytes of sets, and sets.
 BLOCK_BYTES, BLOCK_NODES = 4 << 20, 512
+#: A parity sketch is also folded into so many 64-bit integers, whose distance tells most pairs apart at once.
+FOLDS = 8
 NODE = ["d1", "d2"]
 
 
@@ -144,11 +148,10 @@ def with_company(classes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def list_members(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, n, weight, order, spare, keys): in which lists a class is, from ``sets`` (node, n, values).
+    """(node, n, weight, size, keys): in which lists a class is, from ``sets`` (node, n, values).
 
-    ``order`` has 32 bits of each retained value that others have too, the rarest first, ``spare`` how
-    many of them that makes equal. The first of the values are the ``keys`` of its lists. ``weight``
-    tells how many others have these values.
+    ``size`` counts the retained values that others have too. Ordered, the rarest first, the first of
+    them are the ``keys`` of its lists. ``weight`` tells how many others have these values.
     """
     values = sets.select("node", "n", F.explode("values").alias("value"))
     held = values.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
@@ -156,17 +159,24 @@ def list_members(sets: DataFrame, num: int, den: int) -> DataFrame:
     shared = values.join(held, "value").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("shared"), F.sum("holders").alias("weight"))
     lists = F.size("shared") - needed(F.col("n"), num, den) + 1
-    order = F.transform("shared", lambda v: F.shiftright(v["value"], 32).cast("int"))
-    return (shared.where(lists > 0)
-            .select("node", "n", "weight", F.array_distinct(order).alias("order"), F.size("shared").alias("size"),
-                    F.slice("shared.value", F.lit(1), lists).alias("keys"))
-            .withColumn("spare", F.col("size") - F.size("order")).drop("size"))
+    return shared.where(lists > 0).select(
+        "node", "n", "weight", F.size("shared").alias("size"), F.slice("shared.value", F.lit(1), lists).alias("keys"))
 
 
-def _open_lists(members: DataFrame, least: int) -> DataFrame:
-    """The members (with label) of lists of several labels and ``least`` members, with the list's ``members``."""
-    lists = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
-    return stored(members.join(lists.where(f"lo <> hi and members >= {least}").select("key", "members"), "key"), "open")
+def _parity_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "hashes"):
+        sketches = [parity_sketch(np.frombuffer(x, np.uint64)) for x in batch.column("hashes").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sketches, pa.list_(pa.int64()))], names=["node", "parity"])
+
+
+def _open_lists(members: DataFrame) -> DataFrame:
+    """The members (with label, met) of lists of several labels, with the list's ``members``.
+
+    ``met`` tells of a member that it has met all others of its list.
+    """
+    lists = members.groupBy("key").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.coalesce(F.bool_or("met"), F.lit(False)).alias("done"), F.count(F.lit(1)).alias("members"))
+    return stored(members.drop("met").join(lists.where("lo <> hi and not done").select("key", "members"), "key"), "open")
 
 
 def _pairs_in(lists: DataFrame) -> tuple[int, int]:
@@ -202,13 +212,24 @@ def linked_classes(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         here = asked.join(sets.select("node", "hashes"), "node")
         return stored(dealt.groupBy("p", "q").cogroup(here.groupBy("of_p", "of_q")).applyInArrow(_linked(num, den), "a long, b long"), "links")
 
-    def compared(x: str, y: str) -> Column:
-        """Of different labels, and of sizes that allow a link."""
-        n, m = F.col(f"{x}n"), F.col(f"{y}n")
-        return (F.col(f"{x}label") != F.col(f"{y}label")) & (F.least(n, m) * den >= F.greatest(n, m) * num)
+    def sizes_allow(n: Column, m: Column) -> Column:
+        return F.least(n, m) * den >= F.greatest(n, m) * num
+
+    def parities_allow() -> Column:
+        """That the symmetric difference of a pair (n, parity, n_2, parity_2) may be that of a link."""
+        def within(distance: Column) -> Column:
+            return distance * (den + num) <= (F.col("n") + F.col("n_2")) * (den - num)
+
+        folded = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.col(f"f{i}_2"))) for i in range(FOLDS)), F.lit(0))
+        whole = F.aggregate(F.zip_with("parity", "parity_2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        return within(folded) & within(whole)
 
-    members = nodes.select("node", "n", "weight", F.col("node").alias("label"), F.posexplode("keys").alias("rank", "key"))
-    lists = _open_lists(members, 2)
+    sketches = nodes.select("node", "n").join(sets.select("node", "hashes").mapInArrow(_parity_rows, "node long, parity array<long>"), "node")
+    folds = {f"f{i}": reduce(Column.bitwiseXOR, (F.get("parity", F.lit(j)) for j in range(i, PARITY_BITS // 64, FOLDS))) for i in range(FOLDS)}
+    sketches = stored(sketches.withColumns(folds), "parities")
+    members = nodes.select("node", "n", "weight", F.col("node").alias("label"), F.lit(False).alias("met"),
+                           F.posexplode("keys").alias("rank", "key")).withColumn("rank", F.col("rank").cast("int"))
+    lists = _open_lists(members)
     labels, before, homes = None, None, None
     for star in range(MOST_STARS):
         n, pairs = _pairs_in(lists)
@@ -222,19 +243,28 @@ def linked_classes(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         turn = F.xxhash64("label", F.lit(star)) if star else F.lit(0).cast("long")
         centre = F.min(F.struct(turn.alias("turn"), (-F.col("weight")).alias("weight"), "node", "label", "n")).alias("centre")
         centres = lists.groupBy("key").agg(centre).select("key", *(F.col(f"centre.{c}").alias(f"c_{c}") for c in ("node", "label", "n")))
-        met = lists.join(centres, "key").where(compared("", "c_")).groupBy("node", "c_node").agg(F.count(F.lit(1)).alias("times"))
+        centred = lists.join(centres, "key")
+        fit = sizes_allow(F.col("n"), F.col("c_n"))
+        met = centred.where((F.col("label") != F.col("c_label")) & fit).groupBy("node", "c_node").agg(F.count(F.lit(1)).alias("times"))
         hubs = stored(met.groupBy("node").agg(F.max_by("c_node", F.struct("times", "c_node")).alias("hub")), "hubs")
         homes = _homes(sets, hubs) if homes is None else homes
-        labels = components(links(hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))), labels)
-        joined = lists.drop("label", "members").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        lists = _open_lists(joined, 3)  # a pair by itself has been compared
-    left = lists.select("key", "node", "n", "label", "rank").join(nodes.select("node", "order", "spare"), "node")
-    both = left.join(second(left).withColumnsRenamed({"label_2": "c_label", "n_2": "c_n"}), F.col("key") == F.col("key_2"))
-    # Of the lists that a pair shares, the first by rank; two, lest equal 32 bits of other values hide it.
-    earlier = F.array_intersect(F.slice("order", F.lit(1), F.col("rank")), F.slice("order_2", F.lit(1), F.col("rank_2")))
-    least = F.greatest(needed(F.col("n"), num, den), needed(F.col("c_n"), num, den)) - F.col("spare") - F.col("spare_2")
-    rest = (both.where((F.col("node") < F.col("node_2")) & compared("", "c_"))
-            .where((F.size(earlier) <= 1) & (F.size(F.array_intersect("order", "order_2")) >= least)))
+        near = (hubs.join(sketches, "node").join(second(sketches), F.col("hub") == F.col("node_2")).where(parities_allow())
+                .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+        labels = components(links(near), labels)
+        # In a list of two, the other one may have met its hub elsewhere.
+        both_met = (F.col("members") == 2) & (F.col("node") != F.col("c_node")) & (~fit | (F.col("hub") == F.col("c_node")))
+        joined = (centred.drop("label").join(hubs, "node", "left").join(labels, "node", "left")
+                  .select("key", "node", "n", "weight", "rank", F.coalesce("label", "node").alias("label"), both_met.alias("met")))
+        lists = _open_lists(joined)
+    left = (lists.select("key", "node", "label", "rank").join(nodes.select("node", "size"), "node")
+            .select("key", "node", "label", (F.col("size") - F.col("rank")).alias("after")).join(sketches, "node")
+            .withColumn("need", needed(F.col("n"), num, den)))
+    # The first list that a linked pair shares has all its common values from there on.
+    n, m = F.col("n"), F.col("n_2")
+    after = F.least("after", "after_2")
+    enough = (after >= F.greatest("need", "need_2")) & ((F.greatest(n, m) > K) | (after * (num + den) >= (n + m) * num))
+    rest = left.join(second(left), (F.col("key") == F.col("key_2")) & (F.col("node") < F.col("node_2")) & (F.col("label") != F.col("label_2"))
+                     & sizes_allow(n, m) & enough & parities_allow())
     return components(links(rest.select(F.col("node").alias("a"), F.col("node_2").alias("b"))), labels)
 
 

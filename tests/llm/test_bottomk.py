@@ -96,3 +96,17 @@ def test_a_common_passage_makes_no_lists(spark):
         lambda r: (r["node"], [int(v) for v in shingle_set(r["text"], 4)[:bottomk.K].view(np.int64)]))
     sets = sets.map(lambda r: (r[0], len(r[1]), r[1])).toDF("node string, n long, values array<long>")
     assert bottomk.list_members(sets, 80, 100).count() <= 1
+
+
+def test_a_text_between_two_heavier_ones_is_linked_with_both(spark):
+    """All lists of x are of two members, x with y or x with z; y and z have more company than x."""
+    rng = np.random.default_rng(5)
+    def words(name, n):
+        return [f"{name}{i}" for i in range(n)]
+    common, xy, xz, of_y, of_z = words("c", 78), words("xy", 11), words("xz", 11), words("y", 11), words("z", 11)
+    rows = [common + xy + xz, common + xy + of_y, common + xz + of_z]
+    for own, name in ((of_y, "v"), (of_z, "u")):
+        rows += [own + words(f"{name}both", 50) + words(f"{name}{i}own", 30) for i in range(2)]
+    docs = {i: " ".join(rng.permutation(r)) for i, r in enumerate(rows)}
+    got = bottomk.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), width=1)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == components(docs, 1, 80) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5, 6: 6}
