@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fumarole.plans import sizing
@@ -16,7 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Frees the shuffle files of a finished write, so that stages do not add up on the disks.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Texts that a task holds as Python objects at a time, unless a single one is longer.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
+#: Rows that go to a Python worker at a time: their Arrow buffers stand in both processes and are not part of the heap.
+BATCH_ROWS = 2000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -31,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         conf.set(CLEANUP, before)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's rows to a Python worker at a time to BATCH_ROWS, unless they are fewer.
+
+    It stays set, since a result is computed when its caller writes it.
+    """
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or one derived from it that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

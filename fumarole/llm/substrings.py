@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumarole.llm.common import mix, signed, small_batches, stored, window_hashes, word_hashes
+from fumarole.llm.common import bound_batches, mix, signed, small_batches, stored, window_hashes, word_hashes
 
 #: {0, 1, 3, 9} modulo 13: every remainder is a difference of two of them exactly once.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -177,6 +177,7 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     versions of one document, whose windows go by their start and are removed from each version.
     Rows without doc_id are compared with nothing.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text").withColumn("text_hash", F.xxhash64("text"))
     named = texts.where("doc_id is not null").select("doc_id", "text")
     sizes = texts.where("doc_id is not null").mapInArrow(_size_rows, "doc_id long, text_hash long, n_words long, d1 long, d2 long")
