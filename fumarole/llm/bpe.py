@@ -16,7 +16,7 @@ import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from fumarole.llm.common import small_batches
+from fumarole.llm.common import bound_batches, small_batches
 
 MAX_RANK_BYTES = 64 << 20
 #: Longer texts go through the encoder in pieces of about so many characters.
@@ -95,6 +95,7 @@ def encode_texts(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     Null and empty texts have no ids (empty binary, not null). Other columns are not read; repeated
     rows are encoded each for itself. Texts are taken whole.
     """
+    bound_batches(df.sparkSession)
     ranks = broadcast_ranks(df.sparkSession, rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

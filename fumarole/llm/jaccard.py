@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumarole.llm.common import GOLDEN, fresh, mix, signed, small_batches, stored, window_hashes, word_hashes
+from fumarole.llm.common import GOLDEN, bound_batches, fresh, mix, signed, small_batches, stored, window_hashes, word_hashes
 
 PARITY_BITS = 2048
 #: How often a set with too few filled ranges is cut anew before empty ranges count as well.
@@ -223,6 +223,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     num, den = similarity
     if not 2 * num > den >= num > 0:
         raise ValueError("the similarity has to be above a half, and 1 at most")
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     node_type = "d1 long, d2 long"
     rows = stored(docs.mapInArrow(_document_rows(width), f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, n_shingles long, {node_type}"), "sets")

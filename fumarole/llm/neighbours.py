@@ -15,14 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fumarole.llm.common import small_batches, word_hashes
+from fumarole.llm.common import bound_batches, small_batches, word_hashes
 
 #: Labelled documents that are learned: the stated bound of the sample.
 SAMPLE_ROWS = 4000
 WORD_TERMS, SHAPES, LAGS = 896, 128, (1, 2, 3, 4, 5, 6, 8, 10)
 TERMS = WORD_TERMS + SHAPES + len(LAGS)
 DIRECTIONS, NEIGHBOURS = 48, 25
-BLOCK_ROWS = 1024
+#: Documents that are compared with the sample at a time: 64 kB of cosines and indices for each.
+BLOCK_ROWS = 256
 
 
 def _byte_kinds() -> np.ndarray:
@@ -110,6 +111,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     left out, and labelled ids without a document lend nothing. If an id has several labels or
     texts, each pair is a row. The driver holds the sample's term counts.
     """
+    bound_batches(docs.sparkSession)
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
               .select("doc_id", F.col(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows))
@@ -135,6 +137,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     nothing was learned (0.5 then). Scores are rounded to six places, so that the order of rows in
     a block does not show.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select("*", F.lit(0.0).alias(column)).schema
 
