@@ -110,3 +110,20 @@ def test_a_text_between_two_heavier_ones_is_linked_with_both(spark):
     docs = {i: " ".join(rng.permutation(r)) for i, r in enumerate(rows)}
     got = bottomk.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), width=1)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == components(docs, 1, 80) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 5, 6: 6}
+
+
+def test_near_copies_below_the_threshold_are_not_fetched_pair_by_pair(spark, monkeypatch):
+    """60 texts, each pair at 82 / 118: told apart by their sketches, not by 1770 pairs of sets."""
+    common, asked, stored = [f"c{i}" for i in range(82)], [], bottomk.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        if name == "pairs":
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(bottomk, "stored", counting)
+    docs = [(i, " ".join(common + [f"d{i}w{j}" for j in range(18)])) for i in range(60)]
+    got = bottomk.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=1).collect()
+    assert len(got) == 60 and all(r["kept"] for r in got)
+    assert sum(asked) < 60
